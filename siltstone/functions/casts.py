@@ -1,21 +1,23 @@
-"""Casts that give null instead of failing."""
+"""Casts that give null instead of failing.
+
+A failing TRY cast raises and catches an exception per row, so a shape test
+turns bad values away first. Spark ignores whitespace around a number.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from siltstone.functions.text import strip
-
+_WHOLE = r"^\s*[+-]?[0-9]{1,19}\s*$"
 # Plain decimal or exponent notation. Spark alone would also take `1d` and `NaN`.
-_NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+_NUMBER = r"^\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
 def to_long(text: Column) -> Column:
     """Whole numbers only: `12.0` gives null."""
-    return strip(text).try_cast("bigint")
+    return F.when(text.rlike(_WHOLE), text.try_cast("bigint"))
 
 
 def to_double(text: Column) -> Column:
-    clean = strip(text)
-    return F.when(clean.rlike(_NUMBER), clean.try_cast("double"))
+    return F.when(text.rlike(_NUMBER), text.try_cast("double"))

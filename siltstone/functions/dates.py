@@ -1,7 +1,8 @@
 """Date parsing. Results are TIMESTAMP_NTZ, so no session time zone is involved.
 
 Each format is tried behind a cheap shape test: values of another shape never
-reach the parser, and the casts used are the JVM's fast paths.
+reach the parser, and the casts used are the JVM's fast paths. The text is used
+several times, so pass a column that is already stripped, not an expression.
 """
 
 from __future__ import annotations
@@ -35,11 +36,10 @@ def day_or_second(text: Column) -> Column:
 
 def csv_timestamp(text: Column) -> Column:
     """Any of the timestamp spellings a CSV file may carry."""
-    clean = strip(text)
     plain = _when_shaped(
-        clean, rf"{_DAY}([ T]{_CLOCK}([.]\d{{1,6}})?)?", clean.try_cast("timestamp_ntz")
+        text, rf"{_DAY}([ T]{_CLOCK}([.]\d{{1,6}})?)?", text.try_cast("timestamp_ntz")
     )
-    return F.coalesce(iso_timestamp(clean), plain)
+    return F.coalesce(iso_timestamp(text), plain)
 
 
 def us_date(text: Column) -> Column:
@@ -50,18 +50,18 @@ def us_date(text: Column) -> Column:
 
 def long_date(text: Column) -> Column:
     """`November 10, 2026`: full month names in any case, commas optional."""
-    words = F.regexp_replace(strip(F.replace(text, F.lit(","), F.lit(""))), r"(?U)\s+", " ")
-    day = F.try_to_date(words, "MMMM d yyyy")
-    return _when_shaped(words, r"[A-Za-z]+ \d{1,2} \d{4}", day.cast("timestamp_ntz"))
+    bare = F.replace(text, F.lit(","), F.lit(""))
+    day = F.try_to_date(F.regexp_replace(strip(bare), r"(?U)\s+", " "), "MMMM d yyyy")
+    shape = r"(?U)\s*[A-Za-z]+\s+\d{1,2}\s+\d{4}\s*"
+    return F.when(bare.rlike(f"^{shape}$"), day.cast("timestamp_ntz"))
 
 
-def order_timestamp(text: Column) -> Column:
-    return day_or_second(strip(text))
+def unquoted(text: Column) -> Column:
+    return F.replace(strip(text), F.lit('"'), F.lit(""))
 
 
-def spend_timestamp(text: Column) -> Column:
-    """First of the four accepted spellings that fits, quotes ignored."""
-    clean = F.replace(strip(text), F.lit('"'), F.lit(""))
+def spend_timestamp(clean: Column) -> Column:
+    """First of the four accepted spellings that fits."""
     return F.coalesce(day_or_second(clean), us_date(clean), long_date(clean))
 
 

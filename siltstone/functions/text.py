@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from siltstone.constants import WHITESPACE
 
 # Whitespace that initcap does not treat as a word break.
-_BREAKS_BESIDE_SPACE = "[" + WHITESPACE.replace(" ", "") + "]"
+_BREAKS_BESIDE_SPACE = WHITESPACE.replace(" ", "")
 
 
 def strip(text: Column) -> Column:
@@ -20,17 +20,14 @@ def title_case(text: Column) -> Column:
     """First letter after each whitespace upper, the rest lower.
 
     initcap breaks words on the space alone, so the rare value with another
-    break is cut into runs first.
+    break is cut into runs first. `text` is used three times: pass a column, not
+    an expression, so that it is worked out once.
     """
     runs = F.regexp_extract_all(text, F.lit(r"(?U)\S+|\s+"), F.lit(0))
     return F.when(
-        text.rlike(_BREAKS_BESIDE_SPACE),
-        F.array_join(F.transform(runs, F.initcap), ""),
-    ).otherwise(F.initcap(text))
-
-
-def clean_title(text: Column) -> Column:
-    return title_case(strip(text))
+        F.translate(text, _BREAKS_BESIDE_SPACE, " " * len(_BREAKS_BESIDE_SPACE)) == text,
+        F.initcap(text),
+    ).otherwise(F.array_join(F.transform(runs, F.initcap), ""))
 
 
 def clean_upper(text: Column) -> Column:

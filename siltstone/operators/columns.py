@@ -17,6 +17,18 @@ def apply_where_present(df: DataFrame, rules: dict[str, Callable[[Column], Colum
     return df.withColumns(present) if present else df
 
 
+def with_parsed_date(
+    df: DataFrame,
+    source: str,
+    target: str,
+    clean: Callable[[Column], Column],
+    parse: Callable[[Column], Column],
+) -> DataFrame:
+    """Add `target` parsed from `source`, cleaning each text once for all formats."""
+    cleaned = df.withColumn("_clean", clean(F.col(source)))
+    return cleaned.withColumn(target, parse(F.col("_clean"))).drop("_clean")
+
+
 def normalise_headers(df: DataFrame) -> DataFrame:
     return df.toDF(*[header_name(name) for name in df.columns])
 

@@ -15,7 +15,11 @@ from pyspark.sql import functions as F
 
 from siltstone.constants import MAX_VALID_DATE, PRODUCT_SCHEMA
 from siltstone.functions import buckets, casts, dates, nested, text
-from siltstone.operators.columns import apply_where_present, without_ingest_seq
+from siltstone.operators.columns import (
+    apply_where_present,
+    with_parsed_date,
+    without_ingest_seq,
+)
 from siltstone.operators.dedup import keep_first, keep_latest
 
 Rules = dict[str, Callable[[Column], Column]]
@@ -55,7 +59,9 @@ def orders(bronze: DataFrame) -> DataFrame:
     }
     typed = apply_where_present(first, rules)
     if "order_date" in typed.columns:
-        typed = typed.withColumn("order_date_parsed", dates.order_timestamp(F.col("order_date")))
+        typed = with_parsed_date(
+            typed, "order_date", "order_date_parsed", text.strip, dates.day_or_second
+        )
         typed = typed.withColumns(dates.calendar_parts(F.col("order_date_parsed"), "order"))
     if "order_status" in typed.columns:
         typed = typed.withColumn("is_cancelled", buckets.is_cancelled(F.col("order_status")))
@@ -66,8 +72,8 @@ def accounts(bronze: DataFrame) -> DataFrame:
     """First account per customer; rows without a usable customer id dropped."""
     typed = apply_where_present(bronze, {"customer_id": casts.to_long})
     first = keep_first(typed.filter(F.col("customer_id").isNotNull()), ["customer_id"])
-    rules: Rules = {"account_type": text.clean_title, "country": text.clean_upper}
-    return without_ingest_seq(apply_where_present(first, rules))
+    clean = apply_where_present(first, {"account_type": text.strip, "country": text.clean_upper})
+    return without_ingest_seq(apply_where_present(clean, {"account_type": text.title_case}))
 
 
 def sales(bronze: DataFrame, max_valid_date: date = MAX_VALID_DATE) -> DataFrame:
@@ -81,9 +87,12 @@ def sales(bronze: DataFrame, max_valid_date: date = MAX_VALID_DATE) -> DataFrame
     keys = ["customer_id", "sales_amount"]
     dated = "spend" in typed.columns
     if dated:
-        typed = typed.withColumn("spend_date_parsed", dates.spend_timestamp(F.col("spend")))
+        typed = with_parsed_date(
+            typed, "spend", "spend_date_parsed", dates.unquoted, dates.spend_timestamp
+        )
         keys.append("spend_date_parsed")
-    result = apply_where_present(keep_first(typed, keys), {"channel": text.clean_title})
+    first = apply_where_present(keep_first(typed, keys), {"channel": text.strip})
+    result = apply_where_present(first, {"channel": text.title_case})
     if dated:
         parsed = F.col("spend_date_parsed")
         result = result.withColumns(

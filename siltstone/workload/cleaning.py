@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from siltstone.functions import buckets, casts, dates, text
 from siltstone.operators.aggregates import case_styles, count_where_true
-from siltstone.operators.columns import as_clean_strings, normalise_headers
+from siltstone.operators.columns import as_clean_strings, normalise_headers, with_parsed_date
 from siltstone.workload import dialect as D
 from siltstone.workload import raw
 from siltstone.workload.registry import query, table
@@ -137,9 +137,10 @@ def lenient_cast(spark, sf_dir):
     )
 )
 def multi_format_dates(spark, sf_dir):
-    sales = raw.SALES.frame(spark, sf_dir)
-    stamp = dates.spend_timestamp(F.col("spend"))
-    return sales.select("customer_id", "spend", stamp.alias("spend_date_parsed"))
+    sales = raw.SALES.frame(spark, sf_dir).select("customer_id", "spend")
+    return with_parsed_date(
+        sales, "spend", "spend_date_parsed", dates.unquoted, dates.spend_timestamp
+    )
 
 
 @query(
@@ -150,9 +151,8 @@ def multi_format_dates(spark, sf_dir):
     )
 )
 def long_dates(spark, sf_dir):
-    sales = raw.SALES.frame(spark, sf_dir)
-    unquoted = F.replace(text.strip(F.col("spend")), F.lit('"'), F.lit(""))
-    return sales.select("customer_id", "spend", dates.long_date(unquoted).alias("long_date"))
+    sales = raw.SALES.frame(spark, sf_dir).select("customer_id", "spend")
+    return with_parsed_date(sales, "spend", "long_date", dates.unquoted, dates.long_date)
 
 
 @query(
@@ -211,12 +211,14 @@ def future_count(spark, sf_dir):
     )
 )
 def presence_flags(spark, sf_dir):
-    return raw.SALES.frame(spark, sf_dir).withColumns(
-        {
-            "has_valid_date": dates.spend_timestamp(F.col("spend")).isNotNull(),
-            "has_valid_amount": casts.to_double(F.col("sales_amount")).isNotNull(),
-        }
-    )
+    sales = with_parsed_date(
+        raw.SALES.frame(spark, sf_dir), "spend", "day", dates.unquoted, dates.spend_timestamp
+    )
+    flags = {
+        "has_valid_date": F.col("day").isNotNull(),
+        "has_valid_amount": casts.to_double(F.col("sales_amount")).isNotNull(),
+    }
+    return sales.withColumns(flags).drop("day")
 
 
 @query(

@@ -8,46 +8,44 @@ after that is written twice, as library calls and as SQL.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
 # Full month names in order.
-MONTHS = [
-    "January",
-    "February",
-    "March",
-    "April",
-    "May",
-    "June",
-    "July",
-    "August",
-    "September",
-    "October",
-    "November",
-    "December",
-]
+MONTHS = (
+    "January,February,March,April,May,June,July,August,September,October,November,December"
+)
 
 
 @dataclass(frozen=True)
 class RawTable:
-    """`source` rows, those fitting `twice` given twice with `copy` 0 and 1."""
+    """`source` rows, those fitting `twice` given twice with `copy` 0 and 1.
+
+    `given` names intermediate values the column formulas use more than once.
+    """
 
     source: str
     columns: dict[str, str]
     twice: str = "false"
+    given: dict[str, str] = field(default_factory=dict)
 
     def frame(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = spark.read.parquet(f"{sf_dir}/{self.source}.parquet")
-        copies = f"explode(case when {self.twice} then array(0, 1) else array(0) end) as copy"
-        numbered = rows.selectExpr("*", copies)
+        copies = "0" if self.twice == "false" else self._copies()
+        given = [f"{sql} as {name}" for name, sql in self.given.items()]
+        numbered = rows.selectExpr("*", *given, f"{copies} as copy")
         return numbered.selectExpr(*[f"{sql} as {name}" for name, sql in self.columns.items()])
 
+    def _copies(self) -> str:
+        return f"explode(case when {self.twice} then array(0, 1) else array(0) end)"
+
     def sql(self) -> str:
+        given = "".join(f", {sql} as {name}" for name, sql in self.given.items())
         columns = ", ".join(f"{sql} as {name}" for name, sql in self.columns.items())
         return (
-            f"select {columns} from {self.source}, (values (0), (1)) c(copy)"
-            f" where copy = 0 or ({self.twice})"
+            f"select {columns} from (select *{given} from {self.source}),"
+            f" (values (0), (1)) c(copy) where copy = 0 or ({self.twice})"
         )
 
 
@@ -59,20 +57,18 @@ def _day(stamp: str) -> str:
     return f"cast(cast({stamp} as date) as string)"
 
 
-def _us(stamp: str) -> str:
-    day = _day(stamp)
+def _us(day: str) -> str:
     return f"substr({day}, 6, 2) || '/' || substr({day}, 9, 2) || '/' || substr({day}, 1, 4)"
 
 
-def _loose_day(stamp: str) -> str:
+def _loose(stamp: str) -> str:
     parts = [_text(f"{part}({stamp})") for part in ("year", "month", "day")]
     return " || '-' || ".join(parts)
 
 
-def _long(stamp: str, comma: str) -> str:
-    names = " ".join(f"when {i} then '{name}'" for i, name in enumerate(MONTHS, 1))
-    month = f"(case month({stamp}) {names} end)"
-    return f"{month} || ' ' || {_text(f'day({stamp})')} || '{comma} ' || {_text(f'year({stamp})')}"
+def _long(stamp: str) -> str:
+    month = f"split_part('{MONTHS}', ',', cast(month({stamp}) as int))"
+    return f"{month} || ' ' || {_text(f'day({stamp})')} || ', ' || {_text(f'year({stamp})')}"
 
 
 def _money(value: str) -> str:
@@ -98,13 +94,13 @@ ORDERS = RawTable(
             when o_orderkey % 43 = 5 then '12d'
             else {_money('o_totalprice + copy')} end""",
         "order_date": f"""case
-            when o_orderkey % 7 = 0 then {_day('o_orderdate')} || ' 10:30:00'
-            when o_orderkey % 7 = 1 then '  ' || {_day('o_orderdate')} || chr(9)
-            when o_orderkey % 7 = 2 then {_loose_day('o_orderdate')}
+            when o_orderkey % 7 = 0 then day_text || ' 10:30:00'
+            when o_orderkey % 7 = 1 then '  ' || day_text || chr(9)
+            when o_orderkey % 7 = 2 then {_loose('o_orderdate')}
             when o_orderkey % 21 = 3 then 'not a date'
-            when o_orderkey % 14 = 5 then {_us('o_orderdate')}
+            when o_orderkey % 14 = 5 then {_us('day_text')}
             when o_orderkey % 47 = 6 then '2023-02-30'
-            else {_day('o_orderdate')} end""",
+            else day_text end""",
         "order_status": """case o_orderkey % 6
             when 0 then 'shipped'
             when 1 then ' Cancelled '
@@ -118,6 +114,7 @@ ORDERS = RawTable(
         "ingest_seq": "o_orderkey * 2 + copy",
     },
     twice="o_orderkey % 10 = 0",
+    given={"day_text": _day("o_orderdate")},
 )
 
 ORDERS_WITH_HOLES = RawTable(
@@ -205,13 +202,13 @@ SALES = RawTable(
             when l_orderkey % 17 = 6 then null
             else {_text('l_partkey')} end""",
         "spend": f"""case
-            when l_orderkey % 6 = 0 then {_day('l_shipdate')}
-            when l_orderkey % 6 = 1 then {_day('l_shipdate')} || ' 10:00:00'
-            when l_orderkey % 6 = 2 then {_us('l_shipdate')}
-            when l_orderkey % 6 = 3 then '"' || {_long('l_shipdate', ',')} || '"'
-            when l_orderkey % 6 = 4 then lower({_long('l_shipdate', '')})
+            when l_orderkey % 6 = 0 then day_text
+            when l_orderkey % 6 = 1 then day_text || ' 10:00:00'
+            when l_orderkey % 6 = 2 then {_us('day_text')}
+            when l_orderkey % 6 = 3 then '"' || long_text || '"'
+            when l_orderkey % 6 = 4 then lower(replace(long_text, ',', ''))
             when l_orderkey % 12 = 5 then 'not a date'
-            else ' "' || {_day('l_shipdate')} || '"' || chr(9) end""",
+            else ' "' || day_text || '"' || chr(9) end""",
         "sales_amount": f"""case
             when l_orderkey % 23 = 1 then 'unknown'
             when l_orderkey % 29 = 2 then null
@@ -223,6 +220,7 @@ SALES = RawTable(
             else null end""",
     },
     twice="(l_orderkey + l_linenumber) % 5 = 0",
+    given={"day_text": _day("l_shipdate"), "long_text": _long("l_shipdate")},
 )
 
 _SPECS = f"""'"specs":{{'
