@@ -88,7 +88,7 @@ def product_columns(record: Column) -> dict[str, Column]:
 
 def json_records(text: Column) -> Column:
     """Elements of a JSON array as text, keys in their own order; null if no array."""
-    return F.when(F.ltrim(text).startswith("["), F.from_json(text, "array<string>"))
+    return F.when(text.rlike(r"^\s*\["), F.from_json(text, "array<string>"))
 
 
 def json_array_status(text: Column) -> Column:

@@ -1,8 +1,8 @@
 """Left joins that keep every left row once per match, on one shared key.
 
 No broadcast hints: Catalyst broadcasts a side whose size is under
-autoBroadcastJoinThreshold, AQE one that turned out so, and in the sort-merge
-form AQE splits hot partitions of the left side.
+autoBroadcastJoinThreshold, AQE one that turned out so. Beyond that the join
+sorts and merges, and AQE splits the hot partitions of the left side.
 """
 
 from __future__ import annotations
@@ -30,8 +30,20 @@ def suffixed(right: DataFrame, key: str, taken: list[str], suffix: str) -> DataF
     return right.withColumnsRenamed(clashes) if clashes else right
 
 
+def with_own_shuffle(right: DataFrame, key: str) -> DataFrame:
+    """Hide from the planner that `right` is already spread by `key`.
+
+    AQE splits a hot key only where both sides of a join come straight from a
+    shuffle. An aggregate or join on the same key would be used as it lies, and
+    the other side's hot key would stay on one task. One more shuffle of the
+    reduced side is the price; it is not paid when the side is broadcast.
+    """
+    return right.withColumn(key, F.greatest(key, key))
+
+
 def left_join(left: DataFrame, right: DataFrame, key: str, suffix: str) -> DataFrame:
-    return left.join(suffixed(right, key, left.columns, suffix), key, "left")
+    renamed = suffixed(right, key, left.columns, suffix)
+    return left.join(with_own_shuffle(renamed, key), key, "left")
 
 
 def require_unique(df: DataFrame, key: str) -> None:

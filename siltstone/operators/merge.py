@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siltstone.operators.joins import with_own_shuffle
+
 DELTA_SEQ = "_delta_seq"
 
 
@@ -44,54 +47,61 @@ def upsert(base: DataFrame, delta: DataFrame, key: str) -> DataFrame:
     is sent once per task. A null key matches nothing.
     """
     delta = conform(delta, base)
-    keys = delta.select(key).distinct()
+    keys = with_own_shuffle(delta.select(key).distinct(), key)
     return base.join(keys, key, "left_anti").unionByName(delta)
 
 
 def number_deltas(base: DataFrame, deltas: Sequence[DataFrame]) -> DataFrame:
     """Stack deltas, conformed to the base, with their position as DELTA_SEQ."""
-    stacked = None
-    for place, delta in enumerate(deltas):
-        part = conform(delta, base).withColumn(DELTA_SEQ, F.lit(place))
-        stacked = part if stacked is None else stacked.unionByName(part)
-    if stacked is None:
-        raise ValueError("no deltas")
-    return stacked
+    numbered = [
+        conform(delta, base).withColumn(DELTA_SEQ, F.lit(place))
+        for place, delta in enumerate(deltas)
+    ]
+    return reduce(lambda a, b: a.unionByName(b), numbered)
 
 
-def fresh_rows(deltas: DataFrame, stamp: str, mark: Column, seq: str = DELTA_SEQ) -> DataFrame:
+def fresh_rows(deltas: DataFrame, stamp: str, mark: Column, seq: str | None) -> DataFrame:
     """Rows of each delta past the watermark in force when it is applied.
 
     Applied one by one, a delta only adds rows past the mark, so the mark after
     it is the greatest timestamp seen so far. That makes the mark before each
     delta a running maximum, and the whole sequence one filter. The window and
     the broadcast hold one row per delta, whatever the deltas' sizes.
+    Without `seq` the frame is a single delta.
     """
+    if seq is None:
+        return newer_than(deltas, stamp, mark)
     tops = deltas.groupBy(seq).agg(F.max(stamp).alias("_top"))
     earlier = Window.orderBy(seq).rowsBetween(Window.unboundedPreceding, -1)
-    floors = tops.select(
-        seq, F.greatest(F.max("_top").over(earlier), mark).alias("_floor")
-    )
+    floors = tops.select(seq, F.greatest(F.max("_top").over(earlier), mark).alias("_floor"))
     return newer_than(deltas.join(F.broadcast(floors), seq), stamp, F.col("_floor")).drop("_floor")
 
 
-def fold(
-    base: DataFrame, deltas: DataFrame, key: str, stamp: str, mark: Column, seq: str = DELTA_SEQ
-) -> DataFrame:
-    """Result of applying numbered deltas in order, in one pass.
+def merge_fresh(base: DataFrame, fresh: DataFrame, key: str, seq: str | None) -> DataFrame:
+    """Put fresh rows over the base: a row stays unless a later delta has its key.
 
-    Equals repeated filter-and-upsert: a row survives unless a later delta holds
-    a fresh row with its key. Base rows go through one anti join however many
-    deltas there are.
+    Base rows go through one anti join however many deltas there are.
     """
-    fresh = fresh_rows(deltas, stamp, mark, seq)
+    if seq is None:
+        return upsert(base, fresh, key)
     last = (
         fresh.filter(F.col(key).isNotNull())
         .groupBy(F.col(key).alias("_key"))
         .agg(F.max(seq).alias("_last"))
     )
+    last = with_own_shuffle(last, "_key")
     columns = base.columns
-    before_all = F.lit(None).cast(deltas.schema[seq].dataType)
-    rows = base.select(*columns, before_all.alias(seq)).unionByName(fresh.select(*columns, seq))
-    replaced = (F.col(key) == F.col("_key")) & (F.col(seq).isNull() | (F.col(seq) < F.col("_last")))
-    return rows.join(last, replaced, "left_anti").select(*columns)
+    kept = base.join(last, F.col(key) == F.col("_key"), "left_anti")
+    overtaken = (F.col(key) == F.col("_key")) & (F.col(seq) < F.col("_last"))
+    return kept.unionByName(fresh.join(last, overtaken, "left_anti").select(*columns))
+
+
+def fold(
+    base: DataFrame, deltas: Sequence[DataFrame], key: str, stamp: str, mark: Column
+) -> DataFrame:
+    """Apply deltas in order, in one pass. Equals repeated filter and upsert."""
+    if len(deltas) == 1:
+        stacked, seq = conform(deltas[0], base), None
+    else:
+        stacked, seq = number_deltas(base, deltas), DELTA_SEQ
+    return merge_fresh(base, fresh_rows(stacked, stamp, mark, seq), key, seq)

@@ -13,6 +13,7 @@ from siltstone.operators.merge import (
     fold,
     fresh_rows,
     high_watermark,
+    merge_fresh,
     number_deltas,
 )
 from siltstone.sources.lake import Commit, Lake
@@ -35,7 +36,7 @@ def incremental_load(
     deltas: DataFrame | Sequence[DataFrame],
     key: str,
     stamp: str,
-    seq: str = DELTA_SEQ,
+    seq: str | None = DELTA_SEQ,
     writer: str | None = None,
     batch_id: int | None = None,
 ) -> Commit:
@@ -47,14 +48,15 @@ def incremental_load(
     last = lake.last_commit("bronze", table)
     base = lake.read("bronze", table)
     if isinstance(deltas, DataFrame):
-        deltas = conform(deltas, base, [seq])
+        stacked = conform(deltas, base, [seq])
+    elif len(deltas) == 1:
+        stacked, seq = conform(deltas[0], base), None
     else:
-        deltas, seq = number_deltas(base, deltas), DELTA_SEQ
-    mark = _mark(last.watermark)
-    if fresh_rows(deltas, stamp, mark, seq).isEmpty():
+        stacked = number_deltas(base, deltas)
+    fresh = fresh_rows(stacked, stamp, _mark(last.watermark), seq)
+    if fresh.isEmpty():
         return last
-    merged = fold(base, deltas, key, stamp, mark, seq)
-    return lake.publish("bronze", table, merged, stamp, writer, batch_id)
+    return lake.publish("bronze", table, merge_fresh(base, fresh, key, seq), stamp, writer, batch_id)
 
 
 def load_with_deltas(
@@ -64,5 +66,4 @@ def load_with_deltas(
     if not deltas:
         return full_load(lake, table, base, stamp)
     mark = high_watermark(base, stamp).scalar()
-    merged = fold(base, number_deltas(base, deltas), key, stamp, mark)
-    return lake.publish("bronze", table, merged, stamp)
+    return lake.publish("bronze", table, fold(base, deltas, key, stamp, mark), stamp)

@@ -97,7 +97,7 @@ def keyed_upsert(spark, sf_dir):
 def incremental_load(spark, sf_dir):
     base, events, mark = _split(spark, sf_dir)
     delta = events.filter("event_id % 40 = 0").drop("props")
-    return merge.fold(base, merge.number_deltas(base, [delta]), "user_id", "ts", mark)
+    return merge.fold(base, [delta], "user_id", "ts", mark)
 
 
 def _fold_sql() -> str:
@@ -126,9 +126,8 @@ def _slices(events):
 def incremental_fold(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     base = _before(events, FOLD_START)
-    deltas = merge.number_deltas(base, _slices(events))
     mark = merge.high_watermark(base, "ts").scalar()
-    return merge.fold(base, deltas, "user_id", "ts", mark)
+    return merge.fold(base, _slices(events), "user_id", "ts", mark)
 
 
 @query(_fold_sql())
