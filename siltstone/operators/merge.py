@@ -91,9 +91,13 @@ def merge_fresh(base: DataFrame, fresh: DataFrame, key: str, seq: str | None) ->
     )
     last = with_own_shuffle(last, "_key")
     columns = base.columns
-    kept = base.join(last, F.col(key) == F.col("_key"), "left_anti")
-    overtaken = (F.col(key) == F.col("_key")) & (F.col(seq) < F.col("_last"))
-    return kept.unionByName(fresh.join(last, overtaken, "left_anti").select(*columns))
+    same_key = F.col(key) == F.col("_key")
+    kept = base.join(last, same_key & F.col("_last").isNotNull(), "left_anti")
+    # A left join, as Catalyst would push an anti join into every stacked delta.
+    newest = fresh.join(last, same_key, "left").filter(
+        F.col("_last").isNull() | (F.col(seq) == F.col("_last"))
+    )
+    return kept.unionByName(newest.select(*columns))
 
 
 def fold(

@@ -4,30 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.operators.merge import (
     DELTA_SEQ,
     conform,
-    fold,
     fresh_rows,
-    high_watermark,
     merge_fresh,
     number_deltas,
 )
 from siltstone.sources.lake import Commit, Lake
 
 
-def _mark(text: str | None) -> Column:
-    return F.lit(text).cast("timestamp_ntz")
-
-
 def full_load(lake: Lake, table: str, df: DataFrame, stamp: str) -> Commit:
-    """Replace the table and start its watermark."""
+    """Replace the table and start its watermark anew."""
     if stamp not in df.columns:
         raise ValueError(f"no column {stamp!r} to take the watermark from")
-    return lake.publish("bronze", table, df, stamp)
+    return lake.publish("bronze", table, df, stamp, carry_watermark=False)
 
 
 def incremental_load(
@@ -43,7 +37,9 @@ def incremental_load(
     """Apply deltas in order to the stored table, which is rewritten once.
 
     `deltas` is a list, or one frame that carries its delta number in `seq`.
-    Nothing is written when no row is past the watermark.
+    Fresh rows are written to `staging` first: raw files are not parsed again for
+    the merge, and its joins are planned on known sizes. Without fresh rows the
+    table stays as it is.
     """
     last = lake.last_commit("bronze", table)
     base = lake.read("bronze", table)
@@ -53,17 +49,17 @@ def incremental_load(
         stacked, seq = conform(deltas[0], base), None
     else:
         stacked = number_deltas(base, deltas)
-    fresh = fresh_rows(stacked, stamp, _mark(last.watermark), seq)
-    if fresh.isEmpty():
+    mark = F.lit(last.watermark).cast("timestamp_ntz")
+    staged = lake.publish("staging", table, fresh_rows(stacked, stamp, mark, seq))
+    if not staged.row_count:
         return last
-    return lake.publish("bronze", table, merge_fresh(base, fresh, key, seq), stamp, writer, batch_id)
+    merged = merge_fresh(base, lake.read("staging", table), key, seq)
+    return lake.publish("bronze", table, merged, stamp, writer, batch_id)
 
 
 def load_with_deltas(
     lake: Lake, table: str, base: DataFrame, deltas: Sequence[DataFrame], key: str, stamp: str
 ) -> Commit:
-    """Full load and deltas together, written once."""
-    if not deltas:
-        return full_load(lake, table, base, stamp)
-    mark = high_watermark(base, stamp).scalar()
-    return lake.publish("bronze", table, fold(base, deltas, key, stamp, mark), stamp)
+    """Full load, then all deltas."""
+    commit = full_load(lake, table, base, stamp)
+    return incremental_load(lake, table, deltas, key, stamp) if deltas else commit

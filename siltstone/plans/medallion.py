@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial, reduce
 from typing import Any, NamedTuple
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from siltstone.constants import REQUIRED_COLUMNS
 from siltstone.operators.columns import without_ingest_seq
 from siltstone.operators.joins import require_unique
-from siltstone.operators.quality import Check, profile_all
+from siltstone.operators.quality import Check, failures, profile_all
 from siltstone.plans import gold, silver
 from siltstone.plans.bronze import load_with_deltas
 from siltstone.sources.files import read_csv, read_products, read_sheets
@@ -36,6 +39,14 @@ class Result(NamedTuple):
     quality: DataFrame
 
 
+def _together(jobs: Sequence[Callable[[], object]]) -> None:
+    """Run independent writes side by side, so that a small table's last tasks do
+    not leave the cluster waiting; the first failure is raised."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        for done in [pool.submit(inheritable_thread_target(job)) for job in jobs]:
+            done.result()
+
+
 def _layer_checks(
     lake: Lake, layer: str, keys: Mapping[str, Sequence[str]], rules: Mapping[str, Sequence[str]]
 ) -> list[Check]:
@@ -50,60 +61,97 @@ def _layer_checks(
     ]
 
 
-def run(spark: SparkSession, raw: str, out: str, config: Mapping[str, Any]) -> Result:
-    """Load, clean, check and join the five raw tables under `raw`.
-
-    `config` names the files:
-
-        {"csv_files": {"baseline": "a.csv", "incremental": ["b.csv", ...]},
-         "json_files": ["products.json", ...],
-         "sheets": {"folder": "workbook", "names": ["orders", ...]},
-         "quality_rules": {"orders": ["order_id", ...], ...}}   # optional
-
-    Each layer is read back from what was written, so no table is worked out twice.
-    """
-    lake = Lake(spark, out)
-    rules = config.get("quality_rules", REQUIRED_COLUMNS)
-
+def load_bronze(
+    spark: SparkSession, lake: Lake, raw: str, config: Mapping[str, Any]
+) -> list[str]:
+    """Raw files to bronze; gives the names of the sheets found."""
     files = config["csv_files"]
     baseline, *deltas = [
         read_csv(spark, f"{raw}/{name}", ordinal=place)
         for place, name in enumerate([files["baseline"], *files.get("incremental", [])])
     ]
-    load_with_deltas(lake, "customers", baseline, deltas, "customer_id", "last_updated")
-
-    records = None
-    for name in config["json_files"]:
-        part = read_products(spark, f"{raw}/{name}", lines=name.endswith((".jsonl", ".ndjson")))
-        records = part if records is None else records.unionByName(part)
-    lake.publish("bronze", "products_raw", records)
-
-    sheets = config["sheets"]
-    found = read_sheets(spark, f"{raw}/{sheets['folder']}", sheets["names"])
-    if "orders" not in found:
-        raise FileNotFoundError(f"no orders sheet with rows under {raw}/{sheets['folder']}")
-    for name, table in found.items():
-        lake.publish("bronze", name, table)
-
-    lake.publish("silver", "customers", silver.customers(lake.read("bronze", "customers")))
-    lake.publish("silver", "products", silver.products(lake.read("bronze", "products_raw")))
-    for name, plan in SHEET_PLANS.items():
-        if name in found:
-            lake.publish("silver", name, plan(lake.read("bronze", name)))
+    catalogues = [
+        read_products(spark, f"{raw}/{name}", lines=name.endswith((".jsonl", ".ndjson")))
+        for name in config["json_files"]
+    ]
+    records = reduce(lambda a, b: a.unionByName(b), catalogues)
+    sheets = read_sheets(spark, f"{raw}/{config['sheets']['folder']}", config["sheets"]["names"])
+    if "orders" not in sheets:
+        raise FileNotFoundError(f"no orders sheet with rows under {raw}")
+    _together(
+        [
+            partial(
+                load_with_deltas, lake, "customers", baseline, deltas, "customer_id", "last_updated"
+            ),
+            partial(lake.publish, "bronze", "products_raw", records),
+            *(partial(lake.publish, "bronze", name, table) for name, table in sheets.items()),
+        ]
+    )
+    return list(sheets)
+
 
+def build_silver(lake: Lake, sheets: Sequence[str]) -> None:
+    plans = {"customers": ("customers", silver.customers), "products": ("products_raw", silver.products)}
+    plans |= {name: (name, plan) for name, plan in SHEET_PLANS.items() if name in sheets}
+    _together(
+        [
+            partial(lake.publish, "silver", name, plan(lake.read("bronze", source)))
+            for name, (source, plan) in plans.items()
+        ]
+    )
+
+
+def build_gold(lake: Lake) -> None:
     products = lake.read("silver", "products")
     require_unique(products, "product_id")
-    sales = lake.read("silver", "sales_history") if "sales_history" in found else None
+    has_sales = lake.exists("silver", "sales_history")
     report = gold.build_report(
-        lake.read("silver", "customers"), lake.read("silver", "orders"), products, sales
+        lake.read("silver", "customers"),
+        lake.read("silver", "orders"),
+        products,
+        lake.read("silver", "sales_history") if has_sales else None,
     )
     lake.publish("gold", "report_data", report)
 
-    loaded = ["customers", *(name for name in found if name in SHEET_PLANS)]
+
+def check_layers(lake: Lake, sheets: Sequence[str], rules: Mapping[str, Sequence[str]]) -> None:
+    """Profile every written table of this run into quality/checks."""
+    tables = ["customers", *(name for name in SHEET_PLANS if name in sheets)]
     checks = [
-        *_layer_checks(lake, "bronze", {t: BRONZE_KEYS[t] for t in loaded}, rules),
-        *_layer_checks(lake, "silver", {t: SILVER_KEYS[t] for t in loaded}, {}),
+        *_layer_checks(lake, "bronze", {t: BRONZE_KEYS[t] for t in tables}, rules),
+        *_layer_checks(lake, "silver", {t: SILVER_KEYS[t] for t in tables}, {}),
         Check("report_table", lake.read("gold", "report_data")),
     ]
     lake.publish("quality", "checks", profile_all(checks))
-    return Result(lake.read("gold", "report_data"), lake.read("quality", "checks"))
+
+
+def run(
+    spark: SparkSession,
+    raw: str,
+    out: str,
+    config: Mapping[str, Any],
+    fail_on: Sequence[str] = (),
+) -> Result:
+    """Load, clean, check and join the five raw tables under `raw`.
+
+    `config` names the files:
+
+        {"csv_files": {"baseline": "a.csv", "incremental": ["b.csv", ...]},
+         "json_files": ["products.json", ...],
+         "sheets": {"folder": "workbook", "names": ["orders", ...]},
+         "quality_rules": {"orders": ["order_id", ...], ...}}   # optional
+
+    Each layer is read back from what was written, so no table is worked out
+    twice. `fail_on` names checks that raise when a table does not pass them.
+    """
+    lake = Lake(spark, out)
+    sheets = load_bronze(spark, lake, raw, config)
+    build_silver(lake, sheets)
+    build_gold(lake)
+    check_layers(lake, sheets, config.get("quality_rules", REQUIRED_COLUMNS))
+    quality = lake.read("quality", "checks")
+    if fail_on:
+        bad = failures(quality, fail_on).limit(1).collect()
+        if bad:
+            raise ValueError(f"quality check failed: {bad[0].asDict()}")
+    return Result(lake.read("gold", "report_data"), quality)

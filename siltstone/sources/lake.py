@@ -78,10 +78,12 @@ class Lake:
         stamp: str | None = None,
         writer: str | None = None,
         batch_id: int | None = None,
+        carry_watermark: bool = True,
     ) -> Commit:
         """Replace the table's contents; counts and watermark are taken as it is written.
 
-        A load without any timestamp leaves the watermark where it was.
+        Contents without any timestamp leave the watermark where it was, unless
+        it is not to be carried over.
         """
         last = self.last_commit(layer, table)
         slot = (last.slot + 1) % _SLOTS if last else 0
@@ -95,7 +97,7 @@ class Lake:
             version=last.version + 1 if last else 0,
             slot=slot,
             row_count=metrics["row_count"],
-            watermark=metrics["watermark"] or (last.watermark if last else None),
+            watermark=metrics["watermark"] or (last.watermark if last and carry_watermark else None),
             writer=writer,
             batch_id=batch_id,
         )

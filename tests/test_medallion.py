@@ -153,6 +153,18 @@ def test_second_run_replays_everything(spark, raw, result):
     assert lake.last_commit("gold", "report_data").version == 1
 
 
+def test_failing_check_stops_the_run(spark, raw, tmp_path):
+    with pytest.raises(ValueError, match="quality check failed.*duplicate_rows"):
+        run(spark, str(raw), str(tmp_path), CONFIG, fail_on=["duplicate_rows"])
+
+
+def test_sales_and_accounts_are_optional(spark, raw, tmp_path):
+    config = {**CONFIG, "sheets": {"folder": "book", "names": ["orders"]}}
+    report, quality = run(spark, str(raw), str(tmp_path), config)
+    assert report.count() == 3 and "total_sales_amount" not in report.columns
+    assert quality.filter("table_name like 'accounts%'").isEmpty()
+
+
 def test_repeated_product_stops_the_run(spark, raw, tmp_path):
     import shutil
 

@@ -167,3 +167,9 @@ def test_load_without_timestamps_keeps_the_watermark_unset(spark, tmp_path):
     assert rows(lake.read("bronze", "c").select("name")) == [("b",), ("c",)]
     with pytest.raises(ValueError, match="no column"):
         full_load(lake, "d", spark.range(1), "last_updated")
+
+
+def test_full_load_starts_the_watermark_anew(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    full_load(lake, "c", frame(spark, (1, "a", "2024-01-05")), "last_updated")
+    assert full_load(lake, "c", frame(spark, (1, "a", None)), "last_updated").watermark is None
