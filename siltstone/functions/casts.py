@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_WHOLE = r"^\s*[+-]?[0-9]{1,19}\s*$"
+_WHOLE = r"^\s*[+-]?0*[0-9]{1,19}\s*$"
 # Plain decimal or exponent notation. Spark alone would also take `1d` and `NaN`.
 _NUMBER = r"^\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\s*$"
 

@@ -102,3 +102,10 @@ def profile_all(checks: Iterable[Check]) -> DataFrame:
 def failures(metrics: DataFrame, fail_on: Sequence[str]) -> DataFrame:
     """Metrics of the named checks that are not zero."""
     return metrics.filter(F.col("check_name").isin(list(fail_on)) & (F.col("value") > 0))
+
+
+def require_passed(metrics: DataFrame, fail_on: Sequence[str]) -> None:
+    """Raise ValueError if one of the named checks found something."""
+    bad = failures(metrics, fail_on).limit(1).collect() if fail_on else []
+    if bad:
+        raise ValueError(f"quality check failed: {bad[0].asDict()}")

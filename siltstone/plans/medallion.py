@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from siltstone.constants import REQUIRED_COLUMNS
 from siltstone.operators.columns import without_ingest_seq
 from siltstone.operators.joins import require_unique
-from siltstone.operators.quality import Check, failures, profile_all
+from siltstone.operators.quality import Check, profile_all, require_passed
 from siltstone.plans import gold, silver
 from siltstone.plans.bronze import load_with_deltas
 from siltstone.sources.files import read_csv, read_products, read_sheets
@@ -150,8 +150,5 @@ def run(
     build_gold(lake)
     check_layers(lake, sheets, config.get("quality_rules", REQUIRED_COLUMNS))
     quality = lake.read("quality", "checks")
-    if fail_on:
-        bad = failures(quality, fail_on).limit(1).collect()
-        if bad:
-            raise ValueError(f"quality check failed: {bad[0].asDict()}")
+    require_passed(quality, fail_on)
     return Result(lake.read("gold", "report_data"), quality)

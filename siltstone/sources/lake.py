@@ -17,7 +17,6 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,12 +44,10 @@ class Lake:
         return f"{self.root}/{layer}/{table}"
 
     def _log(self, layer: str, table: str) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(_RECORD).json(f"{self._folder(layer, table)}/_commits")
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
+        folder = f"{self._folder(layer, table)}/_commits"
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        return self.spark.read.schema(_RECORD).json(folder) if files.exists(path) else None
 
     def last_commit(self, layer: str, table: str) -> Commit | None:
         log = self._log(layer, table)

@@ -53,6 +53,7 @@ def test_header_name():
 def test_to_long(spark):
     given = ["12", " 12 ", "12.0", "1d", "NaN", "1e3", "1,000", "", None, "-7", "9" * 19, "9" * 30]
     expected = [12, 12, None, None, None, None, None, None, None, -7, None, None]
+    given, expected = [*given, "0" * 25 + "12", "+3"], [*expected, 12, 3]
     assert applied(spark, casts.to_long, given) == expected
 
 

@@ -148,16 +148,11 @@ def test_checks(result):
 def test_second_run_replays_everything(spark, raw, result):
     (report, _), lake = result
     before = rows(report)
-    again = run(spark, str(raw), lake.root, CONFIG)
+    again = run(spark, str(raw), lake.root, CONFIG, fail_on=["empty_rows"])
     assert rows(again.report) == before
     assert lake.last_commit("gold", "report_data").version == 1
 
 
-def test_failing_check_stops_the_run(spark, raw, tmp_path):
-    with pytest.raises(ValueError, match="quality check failed.*duplicate_rows"):
-        run(spark, str(raw), str(tmp_path), CONFIG, fail_on=["duplicate_rows"])
-
-
 def test_sales_and_accounts_are_optional(spark, raw, tmp_path):
     config = {**CONFIG, "sheets": {"folder": "book", "names": ["orders"]}}
     report, quality = run(spark, str(raw), str(tmp_path), config)

@@ -3,8 +3,8 @@
 import pytest
 
 from helpers import plan_of, rows
-from siltstone.operators.quality import Check, failures, profile, profile_all
 from siltstone.operators import aggregates
+from siltstone.operators.quality import Check, failures, profile, profile_all, require_passed
 
 
 @pytest.fixture
@@ -50,6 +50,14 @@ def test_all_tables_and_failures(table):
     ]
 
 
+def test_required_checks(table):
+    metrics = profile(Check("a", table, key=["id"]))
+    require_passed(metrics, ["missing_column"])
+    require_passed(metrics, [])
+    with pytest.raises(ValueError, match="quality check failed.*duplicate_rows"):
+        require_passed(metrics, ["duplicate_rows"])
+
+
 def test_profile_shuffles_one_row_per_task_and_keys(table):
     plan = plan_of(profile(Check("t", table, key=["id"])))
     assert plan.count("Exchange SinglePartition") == 2
