@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.constants import INGEST_SEQ
+from siltstone.functions.casts import to_double, to_long
 from siltstone.functions.text import header_name, strip
 
 
@@ -17,6 +18,26 @@ def apply_where_present(df: DataFrame, rules: dict[str, Callable[[Column], Colum
     return df.withColumns(present) if present else df
 
 
+_FROM_TEXT = {"bigint": to_long, "double": to_double}
+
+
+def cast_leniently(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
+    """Give the named columns, where present, the type `bigint` or `double`.
+
+    Values that do not fit become null; a column of that type is left alone.
+    """
+    changed = {}
+    for name, kind in kinds.items():
+        if name not in df.columns:
+            continue
+        current = df.schema[name].dataType.simpleString()
+        if current == "string":
+            changed[name] = _FROM_TEXT[kind](F.col(name))
+        elif current != kind:
+            changed[name] = F.col(name).try_cast(kind)
+    return df.withColumns(changed) if changed else df
+
+
 def with_parsed_date(
     df: DataFrame,
     source: str,

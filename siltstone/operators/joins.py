@@ -10,18 +10,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.functions.casts import to_long
+from siltstone.operators.columns import cast_leniently
 
 
 def align_key(df: DataFrame, key: str) -> DataFrame:
     """Give `key` the type BIGINT; values that do not fit become null."""
-    if key not in df.columns:
-        return df
-    kind = df.schema[key].dataType.simpleString()
-    if kind == "bigint":
-        return df
-    column = F.col(key)
-    return df.withColumn(key, to_long(column) if kind == "string" else column.try_cast("bigint"))
+    return cast_leniently(df, {key: "bigint"})
 
 
 def suffixed(right: DataFrame, key: str, taken: list[str], suffix: str) -> DataFrame:

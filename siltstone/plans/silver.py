@@ -7,23 +7,21 @@ that stay. Output is sorted by key within each file, as the window leaves it.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.constants import MAX_VALID_DATE, PRODUCT_SCHEMA
-from siltstone.functions import buckets, casts, dates, nested, text
+from siltstone.functions import buckets, dates, nested, text
 from siltstone.operators.columns import (
     apply_where_present,
+    cast_leniently,
     with_parsed_date,
     without_ingest_seq,
 )
 from siltstone.operators.dedup import keep_first, keep_latest
 
-Rules = dict[str, Callable[[Column], Column]]
-
 
 def customers(bronze: DataFrame) -> DataFrame:
     """Newest row per customer, tidy name and email, age group, domain, region."""
@@ -52,12 +50,8 @@ def products(bronze: DataFrame) -> DataFrame:
 def orders(bronze: DataFrame) -> DataFrame:
     """First row per order; typed ids and amounts, parsed date, cancel flag."""
     first = keep_first(bronze, ["order_id"])
-    rules: Rules = {
-        "customer_id": casts.to_long,
-        "order_amount": casts.to_double,
-        "order_status": text.clean_upper,
-    }
-    typed = apply_where_present(first, rules)
+    typed = cast_leniently(first, {"customer_id": "bigint", "order_amount": "double"})
+    typed = apply_where_present(typed, {"order_status": text.clean_upper})
     if "order_date" in typed.columns:
         typed = with_parsed_date(
             typed, "order_date", "order_date_parsed", text.strip, dates.day_or_second
@@ -70,7 +64,7 @@ def orders(bronze: DataFrame) -> DataFrame:
 
 def accounts(bronze: DataFrame) -> DataFrame:
     """First account per customer; rows without a usable customer id dropped."""
-    typed = apply_where_present(bronze, {"customer_id": casts.to_long})
+    typed = cast_leniently(bronze, {"customer_id": "bigint"})
     first = keep_first(typed.filter(F.col("customer_id").isNotNull()), ["customer_id"])
     clean = apply_where_present(first, {"account_type": text.strip, "country": text.clean_upper})
     return without_ingest_seq(apply_where_present(clean, {"account_type": text.title_case}))
@@ -82,8 +76,8 @@ def sales(bronze: DataFrame, max_valid_date: date = MAX_VALID_DATE) -> DataFrame
     Repeats are rows equal in customer, amount and parsed date, so those are
     worked out first. Future dates are flagged, not dropped.
     """
-    rules: Rules = {"customer_id": casts.to_long, "sales_amount": casts.to_double}
-    typed = apply_where_present(bronze, rules).filter(F.col("customer_id").isNotNull())
+    typed = cast_leniently(bronze, {"customer_id": "bigint", "sales_amount": "double"})
+    typed = typed.filter(F.col("customer_id").isNotNull())
     keys = ["customer_id", "sales_amount"]
     dated = "spend" in typed.columns
     if dated:

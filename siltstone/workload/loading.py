@@ -16,8 +16,8 @@ from siltstone.workload.registry import query, table
 
 BASE_END = datetime(2024, 1, 15)
 FOLD_START = datetime(2024, 1, 8)
-# Weekly slices that reach back three days before the previous one ended, so
-# each holds late rows that its watermark must turn away.
+# Slices that reach back before the previous one ended, so each holds late rows
+# that the watermark must turn away. With the base they cover every event.
 SLICES = [
     (datetime(2024, 1, 5), datetime(2024, 1, 13)),
     (datetime(2024, 1, 10), datetime(2024, 1, 19)),
@@ -26,7 +26,15 @@ SLICES = [
 ]
 LINE = ["l_orderkey", "l_linenumber"]
 
-_BASE = "select * from events where ts < timestamp '2024-01-15'"
+# A user's hour of the day is the merge key: later slices hold most slots again,
+# but not all, so rows of every age are left at the end.
+_EVENTS = "select *, cast(user_id * 24 + hour(ts) as bigint) as slot from events"
+_BASE = f"select * from ({_EVENTS}) where ts < timestamp '{BASE_END}'"
+
+
+def _events(spark, sf_dir):
+    slot = F.col("user_id") * 24 + F.hour("ts")
+    return table(spark, sf_dir, "events").withColumn("slot", slot)
 
 
 def _between(events, start, end):
@@ -42,7 +50,7 @@ def _before(events, end):
 
 def _split(spark, sf_dir):
     """Events before the cut, all events, and the watermark the former leave."""
-    events = table(spark, sf_dir, "events")
+    events = _events(spark, sf_dir)
     base = _before(events, BASE_END)
     return base, events, merge.high_watermark(base, "ts").scalar()
 
@@ -52,7 +60,9 @@ def watermark_max(spark, sf_dir):
     return merge.high_watermark(_before(table(spark, sf_dir, "events"), BASE_END), "ts")
 
 
-@query(D.with_tables("select * from events where ts > (select max(ts) from b)", b=_BASE))
+@query(
+    D.with_tables("select * from e where ts > (select max(ts) from b)", e=_EVENTS, b=_BASE)
+)
 def watermark_filter(spark, sf_dir):
     _, events, mark = _split(spark, sf_dir)
     return merge.newer_than(events, "ts", mark)
@@ -67,72 +77,65 @@ def schema_conform(spark, sf_dir):
     return merge.conform(delta, events)
 
 
-_DELTA = """select * from events
-    where event_id % 3 = 0 and user_id % 2 = 1 and ts > (select max(ts) from b)"""
+_UPSERTED = """select * from b where slot not in (select slot from d)
+    union all select * from d"""
 
 
 @query(
     D.with_tables(
-        """select * from b where user_id not in (select user_id from d)
-        union all select * from d""",
+        _UPSERTED,
         b=_BASE,
-        d=_DELTA,
+        d=f"select * from ({_EVENTS}) where ts > (select max(ts) from b)",
     )
 )
 def keyed_upsert(spark, sf_dir):
     base, events, mark = _split(spark, sf_dir)
-    picked = events.filter("event_id % 3 = 0 and user_id % 2 = 1")
-    return merge.upsert(base, merge.newer_than(picked, "ts", mark), "user_id")
+    return merge.upsert(base, merge.newer_than(events, "ts", mark), "slot")
 
 
 @query(
     D.with_tables(
-        """select * from b where user_id not in (select user_id from d)
-        union all select * from d""",
+        _UPSERTED,
         b=_BASE,
-        d="""select event_id, ts, user_id, event_type, value, cast(null as varchar) as props
-            from events where event_id % 40 = 0 and ts > (select max(ts) from b)""",
+        d=f"""select * replace (cast(null as varchar) as props) from ({_EVENTS})
+            where ts > (select max(ts) from b)""",
     )
 )
 def incremental_load(spark, sf_dir):
     base, events, mark = _split(spark, sf_dir)
-    delta = events.filter("event_id % 40 = 0").drop("props")
-    return merge.fold(base, [delta], "user_id", "ts", mark)
+    return merge.fold(base, [events.drop("props")], "slot", "ts", mark)
 
 
 def _fold_sql() -> str:
     """One delta after the other, each against the result of the last."""
-    tables = {"m0": f"select * from events where ts < timestamp '{FOLD_START}'"}
+    tables = {"e": _EVENTS, "m0": f"select * from e where ts < timestamp '{FOLD_START}'"}
     for i, (start, end) in enumerate(SLICES, 1):
         tables[f"d{i}"] = (
-            f"select * from events where event_id % 40 = {i} and ts >= timestamp '{start}'"
-            f" and ts < timestamp '{end}' and ts > (select max(ts) from m{i - 1})"
+            f"select * from e where ts >= timestamp '{start}' and ts < timestamp '{end}'"
+            f" and ts > (select max(ts) from m{i - 1})"
         )
         tables[f"m{i}"] = (
-            f"select * from m{i - 1} where user_id not in (select user_id from d{i})"
+            f"select * from m{i - 1} where slot not in (select slot from d{i})"
             f" union all select * from d{i}"
         )
     return D.with_tables(f"select * from m{len(SLICES)}", **tables)
 
 
 def _slices(events):
-    return [
-        _between(events, start, end).filter(F.col("event_id") % 40 == i)
-        for i, (start, end) in enumerate(SLICES, 1)
-    ]
+    return [_between(events, start, end) for start, end in SLICES]
 
 
 @query(_fold_sql())
 def incremental_fold(spark, sf_dir):
-    events = table(spark, sf_dir, "events")
+    events = _events(spark, sf_dir)
     base = _before(events, FOLD_START)
     mark = merge.high_watermark(base, "ts").scalar()
-    return merge.fold(base, _slices(events), "user_id", "ts", mark)
+    return merge.fold(base, _slices(events), "slot", "ts", mark)
 
 
 @query(_fold_sql())
 def stream_upsert(spark, sf_dir):
-    events = table(spark, sf_dir, "events")
+    events = _events(spark, sf_dir)
     root = shared_folder(spark, "stream_upsert")
     lake = Lake(spark, f"{root}/lake")
     full_load(lake, "events", _before(events, FOLD_START), "ts")
@@ -142,20 +145,21 @@ def stream_upsert(spark, sf_dir):
     landed.write.partitionBy("delta").parquet(f"{root}/landing")
     source = spark.readStream.schema(landed.schema).parquet(f"{root}/landing")
     stream = stream_deltas(
-        source, lake, "events", "user_id", "ts", "delta", f"{root}/checkpoint"
+        source, lake, "events", "slot", "ts", "delta", f"{root}/checkpoint"
     )
     stream.awaitTermination()
     return lake.read("bronze", "events")
 
 
 @query(
-    """select * from events where event_id % 2 = 0
-    union all select * from events where event_id % 3 = 0"""
+    f"""select * from events where ts < timestamp '{BASE_END}'
+    union all select * from events where ts >= timestamp '{FOLD_START}'"""
 )
 def union_all(spark, sf_dir):
+    """Two overlapping files, the second with its columns in another order."""
     events = table(spark, sf_dir, "events")
-    thirds = events.filter("event_id % 3 = 0").select(*reversed(events.columns))
-    return events.filter("event_id % 2 = 0").unionByName(thirds)
+    later = events.filter(F.col("ts") >= F.lit(FOLD_START).cast("timestamp_ntz"))
+    return _before(events, BASE_END).unionByName(later.select(*reversed(events.columns)))
 
 
 @query(

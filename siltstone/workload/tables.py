@@ -15,6 +15,7 @@ from siltstone.constants import (
     REQUIRED_COLUMNS,
 )
 from siltstone.functions import dates, nested
+from siltstone.functions.casts import to_long
 from siltstone.operators import quality
 from siltstone.operators.aggregates import amounts_by_key
 from siltstone.operators.columns import without_ingest_seq
@@ -247,17 +248,20 @@ def sales_silver(spark, sf_dir):
 
 
 @query(
-    """select o_custkey as c_custkey, o_orderkey, o_totalprice, c_name, c_mktsegment
-    from orders left join customer on c_custkey = o_custkey and c_custkey % 3 <> 1"""
+    D.with_tables(
+        f"""select c_custkey, ingest_seq, c_name, c_mktsegment
+        from (select ingest_seq, {D.whole('customer_id')} as c_custkey from o)
+            left join (select c_custkey as key, c_name, c_mktsegment from customer)
+            on key = c_custkey""",
+        o=raw.ORDERS.sql(),
+    )
 )
 def left_enrich(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").select(
-        F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_totalprice"
-    )
-    customers = table(spark, sf_dir, "customer").filter("c_custkey % 3 <> 1")
-    return left_join(
-        orders, customers.select("c_custkey", "c_name", "c_mktsegment"), "c_custkey", "_cust"
+    orders = raw.ORDERS.frame(spark, sf_dir).select(
+        to_long(F.col("customer_id")).alias("c_custkey"), "ingest_seq"
     )
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    return left_join(orders, customers, "c_custkey", "_cust")
 
 
 @query(
