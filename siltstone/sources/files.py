@@ -23,6 +23,9 @@ from siltstone.operators.columns import apply_where_present, with_ingest_seq
 
 logger = logging.getLogger(__name__)
 
+# A JSON array is parsed by one task, whole.
+MAX_ARRAY_BYTES = 256 * 1024 * 1024
+
 CUSTOMER_TYPES: dict[str, Callable[[Column], Column]] = {
     "customer_id": to_long,
     "age": to_long,
@@ -96,8 +99,15 @@ def read_json_texts(spark: SparkSession, path: str) -> DataFrame:
     return scan.select(F.col("_metadata.file_path").alias("path"), "value")
 
 
-def validate_json_arrays(spark: SparkSession, path: str) -> None:
-    """Raise ValueError if a file is not well-formed JSON or not an array."""
+def validate_json_arrays(
+    spark: SparkSession, path: str, max_bytes: int = MAX_ARRAY_BYTES
+) -> None:
+    """Raise ValueError if a file is too large for one task, is not well-formed
+    JSON or not an array. The size is taken from the file listing."""
+    files = _scan(path, lambda: spark.read.format("binaryFile").load(path))
+    large = files.filter(F.col("length") > max_bytes).select("path").limit(1).collect()
+    if large:
+        raise ValueError(f"{large[0]['path']} is over {max_bytes} bytes: give one record per line")
     texts = read_json_texts(spark, path)
     bad = (
         texts.select("path", json_array_status(F.col("value")).alias("status"))
@@ -123,8 +133,8 @@ def records_of_arrays(texts: DataFrame, column: str = "value") -> DataFrame:
 def read_products(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Product records as (product_id, name, category, raw_json).
 
-    A JSON array cannot be split: each file is one task and must fit in its
-    memory. With `lines` the file holds one record per line, and Spark splits it
+    A JSON array cannot be split, so each file is one task and its size is
+    checked. With `lines` the file holds one record per line, and Spark splits it
     like any text, which is the form for a large catalogue.
     """
     if lines:

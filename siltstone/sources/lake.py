@@ -1,13 +1,13 @@
 """Layered parquet tables with safe replacement.
 
-A table folder holds two slots and a commit log:
+A table folder holds two slots, each with a record of its last commit:
 
-    <root>/<layer>/<table>/_slot0/   parquet
-    <root>/<layer>/<table>/_slot1/   parquet
-    <root>/<layer>/<table>/_commits/ one small JSON file per commit
+    <root>/<layer>/<table>/_slot0/           parquet
+    <root>/<layer>/<table>/_slot0/_commit/   version, watermark, stream batch
+    <root>/<layer>/<table>/_slot1/ ...
 
-A commit writes the slot not in use and then appends one record naming it, the
-new watermark and the stream batch. Readers follow the newest record. A job that
+A load overwrites the older slot, and with it that slot's record, and writes the
+new record last. Readers follow the record with the highest version. A job that
 dies halfway leaves the current slot untouched, a table can be rewritten from
 its own contents, data and watermark move together, and disk use stays at two
 copies. One writer per table at a time.
@@ -43,15 +43,15 @@ class Lake:
     def _folder(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
 
-    def _log(self, layer: str, table: str) -> DataFrame | None:
-        folder = f"{self._folder(layer, table)}/_commits"
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
-        files = path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
-        return self.spark.read.schema(_RECORD).json(folder) if files.exists(path) else None
-
     def last_commit(self, layer: str, table: str) -> Commit | None:
-        log = self._log(layer, table)
-        newest = log.orderBy(F.desc("version")).limit(1).collect() if log is not None else []
+        records = f"{self._folder(layer, table)}/_slot*/_commit"
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(records)
+        files = path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        if not files.globStatus(path):
+            return None
+        # A record may go while it is read, when the older slot is overwritten.
+        log = self.spark.read.schema(_RECORD).option("ignoreMissingFiles", True).json(records)
+        newest = log.orderBy(F.desc("version")).limit(1).collect()
         return Commit(*newest[0]) if newest else None
 
     def exists(self, layer: str, table: str) -> bool:
@@ -86,9 +86,9 @@ class Lake:
         slot = (last.slot + 1) % _SLOTS if last else 0
         seen = Observation(f"publish_{layer}_{table}")
         top = F.max(stamp).cast("string") if stamp else F.lit(None).cast("string")
-        df.observe(seen, F.count(F.lit(1)).alias("row_count"), top.alias("watermark")).write.mode(
-            "overwrite"
-        ).parquet(f"{self._folder(layer, table)}/_slot{slot}")
+        target = f"{self._folder(layer, table)}/_slot{slot}"
+        counted = df.observe(seen, F.count(F.lit(1)).alias("row_count"), top.alias("watermark"))
+        counted.write.mode("overwrite").parquet(target)
         metrics = seen.get
         commit = Commit(
             version=last.version + 1 if last else 0,
@@ -99,5 +99,5 @@ class Lake:
             batch_id=batch_id,
         )
         record = self.spark.createDataFrame([commit], _RECORD).coalesce(1)
-        record.write.mode("append").json(f"{self._folder(layer, table)}/_commits")
+        record.write.json(f"{target}/_commit")
         return commit
