@@ -31,8 +31,9 @@ def with_own_shuffle(right: DataFrame, key: str) -> DataFrame:
     shuffle. An aggregate or join on the same key would be used as it lies, and
     the other side's hot key would stay on one task. One more shuffle of the
     reduced side is the price; it is not paid when the side is broadcast.
+    Null keys match nothing and are left out at the scan.
     """
-    return right.withColumn(key, F.greatest(key, key))
+    return right.filter(F.col(key).isNotNull()).withColumn(key, F.greatest(key, key))
 
 
 def left_join(left: DataFrame, right: DataFrame, key: str, suffix: str) -> DataFrame:

@@ -66,11 +66,13 @@ def fresh_rows(deltas: DataFrame, stamp: str, mark: Column, seq: str | None) ->
     Applied one by one, a delta only adds rows past the mark, so the mark after
     it is the greatest timestamp seen so far. That makes the mark before each
     delta a running maximum, and the whole sequence one filter. The window and
-    the broadcast hold one row per delta, whatever the deltas' sizes.
+    the broadcast hold one row per delta, whatever the deltas' sizes. No mark is
+    below the first, so that one filters at the scan.
     Without `seq` the frame is a single delta.
     """
+    deltas = newer_than(deltas, stamp, mark)
     if seq is None:
-        return newer_than(deltas, stamp, mark)
+        return deltas
     tops = deltas.groupBy(seq).agg(F.max(stamp).alias("_top"))
     earlier = Window.orderBy(seq).rowsBetween(Window.unboundedPreceding, -1)
     floors = tops.select(seq, F.greatest(F.max("_top").over(earlier), mark).alias("_floor"))

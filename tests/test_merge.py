@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import at, final_plan_of, rows
+from helpers import at, final_plan_of, plan_of, rows
 from siltstone.operators.merge import (
     conform,
     fold,
@@ -128,3 +128,14 @@ def test_fold_splits_a_hot_key(spark, settings, pieces):
     replaced = base.join(fresh.select("k").distinct(), "k", "left_anti")
     assert got.count() == replaced.count() + fresh.count()
     assert got.filter("k = -1").count() == base.filter("k = -1").count()
+
+
+def test_known_watermark_reaches_the_scan(spark, tmp_path):
+    base = frame(spark, (1, "a", "2024-01-01"))
+    for name in ("one", "two"):
+        base.write.parquet(f"{tmp_path}/{name}")
+    deltas = [spark.read.parquet(f"{tmp_path}/{name}") for name in ("one", "two")]
+    for given in (deltas, deltas[:1]):
+        plan = plan_of(fold(base, given, "id", "ts", mark("2024-01-02")))
+        scans = plan.count("FileScan parquet")
+        assert plan.count("GreaterThan(ts,2024-01-02T00:00)") == scans > 0
