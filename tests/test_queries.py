@@ -7,6 +7,7 @@ import pytest
 import __spark_entry__ as entry_points
 from compare import difference, oracle_connection
 from helpers import plan_of
+from siltstone.workload.registry import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -19,15 +20,15 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert entry_points.queries().keys() == entry_points.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys() <= entry_points.queries().keys()
 
 
-@pytest.mark.parametrize("name", entry_points.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, connection, name):
     assert difference(spark, connection, name, SF_DIR) is None
 
 
-@pytest.mark.parametrize("name", [n for n in entry_points.queries() if n != "stream_upsert"])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n != "stream_upsert"])
 def test_plan_scales(spark, settings, name):
     """No Python per row, no cross join, nothing that needs a side to be small."""
     settings(
