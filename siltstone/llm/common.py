@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -29,6 +31,14 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def per_process(key: str, make: Callable):
+    """What `make` gives, kept for all tasks of this Python worker."""
+    held = sys.modules.setdefault("_siltstone_held", types.ModuleType("_siltstone_held")).__dict__
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -25,6 +25,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -132,14 +133,11 @@ def _pruner(threshold: float, miss: float):
 def _confirmer(size: int, percent: int):
     def sets(texts: pa.Array) -> list[np.ndarray]:
         """Shingle sets of a column; equal neighbours, as of one pivot, are worked out once."""
-        runs = texts.run_end_encode() if hasattr(texts, "run_end_encode") else None
-        values = runs.values if runs is not None else texts
+        runs = pc.run_end_encode(texts)
         found = []
-        for block in word_blocks(values, lower=True):
+        for block in word_blocks(runs.values, lower=True):
             hashes = block.hashes()
             found += [shingle_set(hashes[block.bounds[i] : block.bounds[i + 1]], size) for i in range(block.rows)]
-        if runs is None:
-            return found
         lengths = np.diff(runs.run_ends.to_numpy(), prepend=0)
         return [s for s, n in zip(found, lengths, strict=True) for _ in range(n)]
 

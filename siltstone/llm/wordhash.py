@@ -14,13 +14,14 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
+from siltstone.llm.common import per_process
+
 BLOCK_BYTES = 1 << 20
 MULTIPLIER = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(MULTIPLIER, -1, 1 << 64)
 U64 = np.uint64
 
 _BYTE_VALUES = np.random.Generator(np.random.PCG64(7)).integers(1, 1 << 63, 256, dtype=np.uint64) * U64(2) + U64(1)
-_powers: dict[int, np.ndarray] = {}
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -30,17 +31,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(33))
 
 
+def _powers(base: int, n: int) -> np.ndarray:
+    steps = np.full(n, base, dtype=np.uint64)
+    steps[0] = 1
+    return np.multiply.accumulate(steps)
+
+
 def _power(base: int, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64; kept up to the usual block."""
-    have = _powers.get(base)
-    if have is None or len(have) < n:
-        size = max(n, 2 * BLOCK_BYTES)
-        steps = np.full(size, base, dtype=np.uint64)
-        steps[0] = 1
-        have = np.multiply.accumulate(steps)
-        if size == 2 * BLOCK_BYTES:
-            _powers[base] = have
-    return have[:n]
+    usual = BLOCK_BYTES + 1
+    return per_process(f"powers {base}", lambda: _powers(base, usual))[:n] if n <= usual else _powers(base, n)
 
 
 def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
