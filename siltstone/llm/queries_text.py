@@ -2,10 +2,40 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from siltstone.llm.bpe_codec import encoded
 from siltstone.llm.common import query, table
 from siltstone.llm.minhash_dedup import near_duplicates
+from siltstone.llm.substring_dedup import without_repeats
+from siltstone.llm.token_counts import token_counts
+
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query()
+def op1_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of every document, as digests."""
+    coded = encoded(table(spark, sf_dir, "documents").select("doc_id", "text"), WORD_BPE)
+    return coded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+@query()
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document under the byte-level vocabulary."""
+    return token_counts(table(spark, sf_dir, "documents"), BYTE_BPE, limit=512)
+
+
+@query()
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words left in every document, as digests."""
+    left = without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=35)
+    return left.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
 @query()
