@@ -7,11 +7,12 @@ is dropped once the posterior probability of reaching the threshold (uniform pri
 falls under `miss`; what is left is confirmed on the full shingle sets.
 
 Buckets never emit all their pairs. In a bucket every member is first compared
-with the smallest one; whoever ends in the same component needs no further
-comparison there. Only pairs of different components are left over, counted
-before they are made: in further rounds the smallest member of each bucket is
-compared with all others outside its component and then retired, until the rest
-is at most `REST` pairs per membership. No pair of different components is left out.
+with the smallest one; members found similar to it need no comparison with each
+other, so a bucket of near copies is done after one comparison each. Where members
+are left over, the bucket is cut into blocks of about `BLOCK` members, and pairs of
+blocks are compared inside tasks, which pass on links only. A pair that meets in
+several buckets is compared in the first of them. No pair that shares a bucket
+and is not known to be connected is left out.
 
 Nulls: a null text has no shingles, as an empty one, and links with nothing. A row
 with a null id is kept as a component of its own with null component_id. Rows that
@@ -37,7 +38,7 @@ from siltstone.llm.wordhash import U64, mix, shingle_set, word_blocks
 BANDS, ROWS = 25, 5
 HASHES = BANDS * ROWS
 MISS = 1e-4
-REST = 4
+BLOCK = 128
 
 _SEEDS = np.random.Generator(np.random.PCG64(11)).integers(0, 1 << 63, (2, HASHES), dtype=np.uint64)
 _XOR, _FACTOR = _SEEDS[0] * U64(2), _SEEDS[1] * U64(2) + U64(1)
@@ -110,21 +111,33 @@ def least_matches(threshold: float, miss: float) -> list[tuple[int, int]]:
     return steps
 
 
+def survivors(left: np.ndarray, right: np.ndarray, steps: list[tuple[int, int]]) -> np.ndarray:
+    """Rows of two signature matrices that no batch of hashes rules out."""
+    alive = np.arange(len(left))
+    matches = np.zeros(len(left), dtype=np.int64)
+    done = 0
+    for seen, need in steps:
+        matches[alive] += (left[alive, done:seen] == right[alive, done:seen]).sum(axis=1)
+        alive = alive[matches[alive] >= need]
+        done = seen
+    return alive
+
+
+def _signatures(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint32).reshape(-1, HASHES)
+
+
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    shared = len(np.intersect1d(x, y, assume_unique=True))
+    return bool(shared) and 100 * shared >= percent * (len(x) + len(y) - shared)
+
+
 def _pruner(threshold: float, miss: float):
     steps = least_matches(threshold, miss)
 
     def prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = (
-                np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.uint32).reshape(-1, HASHES) for i in (2, 3)
-            )
-            alive = np.arange(len(left))
-            matches = np.zeros(len(left), dtype=np.int64)
-            done = 0
-            for seen, need in steps:
-                matches[alive] += (left[alive, done:seen] == right[alive, done:seen]).sum(axis=1)
-                alive = alive[matches[alive] >= need]
-                done = seen
+            alive = survivors(_signatures(batch.column(2)), _signatures(batch.column(3)), steps)
             yield pa.RecordBatch.from_arrays([batch.column(i).take(pa.array(alive)) for i in (0, 1)], names=["a", "b"])
 
     return prune
@@ -145,10 +158,7 @@ def _confirmer(size: int, percent: int):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                keep = []
-                for x, y in zip(sets(part.column(2)), sets(part.column(3)), strict=True):
-                    shared = len(np.intersect1d(x, y, assume_unique=True))
-                    keep.append(bool(shared) and 100 * shared >= percent * (len(x) + len(y) - shared))
+                keep = [similar(x, y, percent) for x, y in zip(sets(part.column(2)), sets(part.column(3)), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(i).filter(pa.array(keep, pa.bool_())) for i in (0, 1)], names=["a", "b"]
                 )
@@ -156,34 +166,78 @@ def _confirmer(size: int, percent: int):
     return confirm
 
 
-def verified(pairs: DataFrame, signed: DataFrame, docs: DataFrame, size: int, percent: int, miss: float) -> DataFrame:
+def verified(pairs: DataFrame, faces: DataFrame, size: int, percent: int, miss: float) -> DataFrame:
     """Of pairs (a, b) of representatives those that are similar enough."""
-    sig = signed.select("doc_id", "sig")
-    with_sigs = (
-        pairs.join(sig.withColumnsRenamed({"doc_id": "b", "sig": "sig_b"}), "b")
-        .join(sig.withColumnsRenamed({"doc_id": "a", "sig": "sig_a"}), "a")
-        .select("a", "b", "sig_a", "sig_b")
-    )
-    likely = written(with_sigs.mapInArrow(_pruner(percent / 100, miss), "a long, b long"), "likely")
-    texts = docs.select("doc_id", "text").filter("doc_id is not null")
-    with_texts = (
-        likely.join(texts.withColumnsRenamed({"doc_id": "b", "text": "text_b"}), "b")
-        .join(texts.withColumnsRenamed({"doc_id": "a", "text": "text_a"}), "a")
-        .select("a", "b", "text_a", "text_b")
-    )
-    return written(with_texts.mapInArrow(_confirmer(size, percent), "a long, b long"), "confirmed")
 
+    def with_both(pairs: DataFrame, column: str) -> DataFrame:
+        face = faces.select("id", column)
+        return (
+            pairs.join(face.withColumnsRenamed({"id": "b", column: "of_b"}), "b")
+            .join(face.withColumnsRenamed({"id": "a", column: "of_a"}), "a")
+            .select("a", "b", "of_a", "of_b")
+        )
+
+    likely = written(with_both(pairs, "sig").mapInArrow(_pruner(percent / 100, miss), "a long, b long"), "likely")
+    return written(with_both(likely, "text").mapInArrow(_confirmer(size, percent), "a long, b long"), "confirmed")
 
-def _open_pairs(members: DataFrame) -> tuple[DataFrame, int]:
-    """Members of buckets that hold more than one component, and how many pairs cross."""
-    sizes = members.groupBy("key", "component").count()
-    buckets = (
-        sizes.groupBy("key")
-        .agg(F.sum("count").alias("n"), F.sum(F.col("count").cast("double") * F.col("count")).alias("same"))
-        .filter("n * n > same")
+
+def _block_comparer(size: int, percent: int, miss: float):
+    """Links between members of two blocks (or within one) of a bucket."""
+    steps = least_matches(percent / 100, miss)
+
+    def compare(unit: pa.Table) -> pa.Table:
+        ids, tied, block = (unit.column(c).to_numpy() for c in ("id", "tied", "block"))
+        band = unit.column("band")[0].as_py()
+        sigs = _signatures(unit.column("sig"))
+        keys = band_keys(sigs)
+        texts = unit.column("text")
+        held: dict[int, np.ndarray] = {}
+
+        def shingles(i: int) -> np.ndarray:
+            if i not in held:
+                part = next(word_blocks(pa.array([texts[i].as_py()], pa.string()), lower=True))
+                held[i] = shingle_set(part.hashes(), size)
+            return held[i]
+
+        one, two = unit.column("unit")[0].as_py()
+        found = []
+        for i in np.flatnonzero(block == one):
+            other = np.flatnonzero(((block == two) if one != two else (ids > ids[i])) & ~(tied & tied[i]))
+            other = other[~(keys[other, :band] == keys[i, :band]).any(axis=1)]
+            other = other[survivors(np.broadcast_to(sigs[i], (len(other), HASHES)), sigs[other], steps)]
+            found += [(ids[i], ids[j]) for j in other if similar(shingles(i), shingles(j), percent)]
+        a, b = (np.array([f[k] for f in found], dtype=np.int64) for k in (0, 1))
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return compare
+
+
+def left_over(members: DataFrame, links: DataFrame, faces: DataFrame, size: int, percent: int, miss: float) -> DataFrame:
+    """Links in buckets whose members are not all tied to the first one."""
+    tied = links.select(F.col("a").alias("pivot"), F.col("b").alias("id"), F.lit(True).alias("linked"))
+    known = members.join(own_shuffle(tied, "pivot", "id"), ["pivot", "id"], "left").select(
+        "key", "band", "id", (F.col("linked").isNotNull() | (F.col("id") == F.col("pivot"))).alias("tied")
+    )
+    known = written(known, "tied")
+    open_keys = (
+        known.groupBy("key").agg(F.count("*").alias("n"), F.count_if("tied").alias("t"))
+        .filter("n > t and n > 2").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    )
+    block = F.pmod(F.hash("id"), "blocks").alias("block")
+    partner = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("partner")
+    units = (
+        known.join(own_shuffle(open_keys, "key"), "key")
+        .select("key", "band", "id", "tied", "blocks", block)
+        .select("key", "band", "id", "tied", "block", partner)
+        .withColumn("unit", F.array(F.least("block", "partner"), F.greatest("block", "partner")))
+        .select("key", "band", "id", "tied", "block", "unit")
+    )
+    return written(
+        units.join(faces, "id")
+        .groupBy("key", "unit")
+        .applyInArrow(_block_comparer(size, percent, miss), "a long, b long"),
+        "others",
     )
-    total = buckets.agg(F.sum((F.col("n").cast("double") * F.col("n") - F.col("same")) / 2)).first()[0] or 0
-    return members.join(own_shuffle(buckets.select("key"), "key"), "key", "left_semi"), int(total)
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, miss: float = MISS) -> DataFrame:
@@ -199,43 +253,20 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, miss: flo
     firsts = signed.join(
         classes.select("print", F.col("rep").alias("doc_id")), ["print", "doc_id"], "left_semi"
     ).dropDuplicates(["doc_id"])
-    firsts = written(firsts.select("doc_id", "sig", "bands"), "firsts")
-    entries = firsts.select(F.explode("bands").alias("key"), F.col("doc_id").alias("id"))
+    firsts = written(firsts.select(F.col("doc_id").alias("id"), "sig", "bands"), "firsts")
+    entries = firsts.select("id", F.posexplode("bands").alias("band", "key"))
     full = entries.groupBy("key").agg(F.min("id").alias("pivot"), F.count("*").alias("n")).filter("n > 1")
-    members = written(entries.join(own_shuffle(full, "key"), "key").select("key", "id", "pivot"), "members")
+    members = written(entries.join(own_shuffle(full, "key"), "key").select("key", "band", "id", "pivot"), "members")
+    faces = (
+        members.select("id").distinct()
+        .join(firsts.select("id", "sig"), "id")
+        .join(docs.filter("doc_id is not null").withColumnRenamed("doc_id", "id"), "id")
+    )
+    faces = written(faces.select("id", "sig", "text"), "faces")
 
     pairs = members.filter("id != pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
-    links = verified(pairs, firsts, docs, size, percent, miss)
-    tried = pairs
-    open_members = members.select("key", "id")
-    budget = REST * members.count()
-    while True:
-        labels = components(links)
-        labelled = open_members.join(labels, "id", "left").select(
-            "key", "id", F.coalesce("component", "id").alias("component")
-        )
-        open_members, rest = _open_pairs(labelled)
-        if not rest:
-            break
-        open_members = written(open_members, "open")
-        other = open_members.withColumnsRenamed({"id": "b", "component": "component_b"})
-        if rest <= budget:
-            pairs = open_members.join(other, "key").filter("id < b and component != component_b").select(F.col("id").alias("a"), "b")
-        else:
-            pivots = open_members.groupBy("key").agg(F.min(F.struct("id", "component")).alias("p")).select("key", "p.*")
-            pairs = (
-                other.join(own_shuffle(pivots, "key"), "key")
-                .filter("id != b and component != component_b")
-                .select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b"))
-            )
-            open_members = open_members.join(own_shuffle(pivots.select("key", "id"), "key"), ["key", "id"], "left_anti")
-        pairs = written(pairs.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
-        links = links.union(verified(pairs, firsts, docs, size, percent, miss))
-        if rest <= budget:
-            labels = components(links)
-            break
-        tried = tried.union(pairs)
-        open_members = written(open_members.select("key", "id"), "open")
+    links = verified(pairs, faces, size, percent, miss)
+    labels = components(links.union(left_over(members, links, faces, size, percent, miss)))
 
     by_class = classes.join(labels.withColumnsRenamed({"id": "rep"}), "rep", "left").select(
         "print", F.coalesce("component", "rep").alias("component_id")
