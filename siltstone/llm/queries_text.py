@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 
 from siltstone.llm.bpe_codec import encoded
 from siltstone.llm.common import query, table
+from siltstone.llm.hash_shards import sharded
+from siltstone.llm.kneser_ney import quality
 from siltstone.llm.minhash_dedup import near_duplicates
+from siltstone.llm.seeded_decontam import contaminated
 from siltstone.llm.substring_dedup import without_repeats
 from siltstone.llm.token_counts import token_counts
 
@@ -42,3 +45,43 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three-word shingles, similarity of 0.85 or more."""
     return near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
+@query()
+def op5_benchmark_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of the benchmark, with the item."""
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query(
+    """
+    with keyed as (
+        select doc_id, cast(octet_length(encode(coalesce(text, ''))) as bigint) as n_bytes,
+            cast('0x' || substr(md5(coalesce(cast(doc_id as varchar), '') || '|' || coalesce(text, '')), 1, 15) as bigint) as key
+        from documents
+    ), paths as (
+        select key, n_bytes, cast(d.depth as integer) as depth, key >> (60 - d.depth) as prefix
+        from keyed, (select unnest(range(0, 61)) as depth) d
+    ), nodes as (
+        select depth, prefix, cast(sum(n_bytes) as bigint) as shard_bytes from paths group by all
+    ), leaves as (
+        select p.key, min(n.depth) as depth
+        from (select distinct key, depth, prefix from paths) p join nodes n on n.depth = p.depth and n.prefix = p.prefix
+        where n.shard_bytes <= 8388608 group by p.key
+    )
+    select k.doc_id, k.n_bytes, l.depth, k.key >> (60 - l.depth) as prefix, n.shard_bytes, true as fits
+    from keyed k join leaves l on l.key = k.key
+        join nodes n on n.depth = l.depth and n.prefix = k.key >> (60 - l.depth)
+    """
+)
+def op9_hash_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard of every document, of 8 MiB of text at most."""
+    return sharded(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+@query()
+def op10_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of every document against its language's threshold; trusted are those labelled good."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    trusted = table(spark, sf_dir, "labels").filter("quality = 1")
+    return quality(docs, trusted).select("doc_id", "lang", "perplexity", "threshold", "kept")
