@@ -14,6 +14,7 @@ from siltstone.llm.minhash_dedup import near_duplicates
 from siltstone.llm.seeded_decontam import contaminated
 from siltstone.llm.substring_dedup import without_repeats
 from siltstone.llm.token_counts import token_counts
+from siltstone.llm.toxicity import toxicity
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -34,6 +35,15 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), BYTE_BPE, limit=512)
 
 
+@query()
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from four fifths of the ids."""
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    labels = table(spark, sf_dir, "labels").filter(~held_out).select("doc_id", F.col("toxic").alias("label"))
+    scored = toxicity(table(spark, sf_dir, "documents").select("doc_id", "text"), labels)
+    return scored.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 @query()
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words left in every document, as digests."""
