@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from siltstone.llm.common import query, table
 from siltstone.llm.host_reputation import judged
+from siltstone.llm.vector_dedup import near_vectors
 
 # The rules the pages are judged by, as (verdict, host, path).
 RULES = [
@@ -18,6 +19,12 @@ RULES = [
 ]
 
 
+@query()
+def op2_vector_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors linked by a cosine of 0.95 or more."""
+    return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 @query(
     r"""
     with split as (
