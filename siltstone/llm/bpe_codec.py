@@ -61,35 +61,45 @@ def pieces(text: str, special: regex.Pattern, size: int = PIECE) -> list[tuple[s
     return [*cut, (text[at:], kind)]
 
 
+class _Ids(dict):
+    """Ids of a word, from the library's model when first asked for."""
+
+    def __init__(self, vocab: Vocabulary):
+        self.model = vocab.tokenizer.model
+        self.letters = dict(enumerate(vocab.letters))
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        letters = word if word.isascii() else word.encode("utf-8").decode("latin-1").translate(self.letters)
+        ids = tuple(t.id for t in self.model.tokenize(letters))
+        if len(word) <= HELD_CHARS:
+            if len(self) >= HELD_WORDS:
+                self.clear()
+            self[word] = ids
+        return ids
+
+
 class Encoder:
     """Encodes texts as the library does; ids of words met before are held."""
 
     def __init__(self, vocab: Vocabulary):
         self.vocab = vocab
         self.pattern = regex.compile(WORD_PATTERN)
-        self.held: dict[str, list[int]] = {}
-
-    def _library(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.vocab.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        self.ids_of = _Ids(vocab).__getitem__
+        self.name_of = [vocab.names[i] for i in range(len(vocab.names))].__getitem__
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
-        plain = [i for i, t in enumerate(texts) if BEYOND.search(t) is None and self.vocab.special.search(t) is None]
-        words = {i: self.pattern.findall(texts[i].lower()) for i in plain}
-        if len(self.held) > HELD_WORDS:
-            self.held = {}
-        new = list(set(chain.from_iterable(words.values())).difference(self.held))
-        fresh = dict(zip(new, chain.from_iterable(self._library(new[k : k + 1000]) for k in range(0, len(new), 1000)), strict=True))
-        self.held |= fresh
-        found = {i: np.fromiter(chain.from_iterable(map(self.held.__getitem__, w)), dtype=np.uint32) for i, w in words.items()}
-        for word in fresh:
-            if len(word) > HELD_CHARS:
-                del self.held[word]
-        other = [i for i in range(len(texts)) if i not in found]
-        found |= {i: np.array(self._library([texts[i]])[0], dtype=np.uint32) for i in other}
-        return [found[i] for i in range(len(texts))]
+        return [self._encoded(t) for t in texts]
+
+    def _encoded(self, text: str) -> np.ndarray:
+        if BEYOND.search(text) is None and self.vocab.special.search(text) is None:
+            words = self.pattern.findall(text.lower())
+            return np.fromiter(chain.from_iterable(map(self.ids_of, words)), dtype=np.uint32)
+        return np.array(self.vocab.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
     def decode(self, ids: np.ndarray) -> str:
+        if self.vocab.tokenizer.decoder is None:  # the library then puts blanks between the names
+            return " ".join(map(self.name_of, ids.tolist()))
         return self.vocab.tokenizer.decode(ids.tolist(), skip_special_tokens=False)
 
     def joined(self, left: np.ndarray, right: np.ndarray, kind: int) -> np.ndarray:
