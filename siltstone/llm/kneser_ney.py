@@ -36,6 +36,7 @@ BITS = 12
 UNITS = 1 << BITS
 QUANTILE = 0.995
 BROADCAST_ROWS = 4_000_000
+BROADCAST_IDS = 1_000_000
 CHUNK_CHARS = 1 << 23
 BLOCK_CHARS = 1 << 19
 
@@ -250,11 +251,17 @@ def _scored_by_chunk(rows: DataFrame, scores: DataFrame, schema: str) -> DataFra
     return placed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(score, schema)
 
 
+def _ids(trusted: DataFrame) -> DataFrame:
+    """Distinct ids, sent to all tasks while they are few, so that texts need no shuffle."""
+    ids = trusted.select("doc_id").filter("doc_id is not null").distinct()
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else own_shuffle(ids, "doc_id")
+
+
 def perplexities(docs: DataFrame, trusted: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """(rest, perplexity): the columns of `docs` as a struct, and the perplexity under the trusted texts' model."""
     lang = F.coalesce(F.col("lang"), F.lit(""))
     texts = docs.select("doc_id", lang.alias("lang"), "text")
-    taught = texts.join(own_shuffle(trusted.select("doc_id").distinct(), "doc_id"), "doc_id", "left_semi")
+    taught = texts.join(_ids(trusted), "doc_id", "left_semi")
     counts = written(code_counts(taught.filter(~held_out())), "counts")
     wanted = written(code_counts(texts).select(KEY), "codes")
     scores = written(scored_codes(counts, wanted), "scores")
@@ -282,7 +289,7 @@ def quality(docs: DataFrame, trusted: DataFrame, quantile: float = QUANTILE, bro
     scored = written(perplexities(docs.select(carried), trusted, broadcast_rows), "perplexities")
     fields = scored.select("rest.doc_id", F.coalesce("rest.lang", F.lit("")).alias("lang"), "perplexity")
     known = fields.filter(held_out() & F.col("perplexity").isNotNull()).join(
-        own_shuffle(trusted.select("doc_id").distinct(), "doc_id"), "doc_id", "left_semi"
+        _ids(trusted), "doc_id", "left_semi"
     )
     thresholds = known.groupBy("lang").agg(F.percentile_approx("perplexity", quantile, 10_000).alias("threshold"))
     thresholds = written(thresholds.withColumnRenamed("lang", "_lang"), "thresholds")
