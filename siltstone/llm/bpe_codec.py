@@ -69,7 +69,7 @@ class _Ids(dict):
         self.letters = dict(enumerate(vocab.letters))
 
     def __missing__(self, word: str) -> tuple[int, ...]:
-        letters = word if word.isascii() else word.encode("utf-8").decode("latin-1").translate(self.letters)
+        letters = word if word.isascii() and word.isprintable() else word.encode("utf-8").decode("latin-1").translate(self.letters)
         ids = tuple(t.id for t in self.model.tokenize(letters))
         if len(word) <= HELD_CHARS:
             if len(self) >= HELD_WORDS:
