@@ -38,7 +38,7 @@ from siltstone.llm.wordhash import U64, mix, shingle_set, word_blocks
 BANDS, ROWS = 25, 5
 HASHES = BANDS * ROWS
 MISS = 1e-4
-BLOCK = 256
+BLOCK = 128
 
 _SEEDS = np.random.Generator(np.random.PCG64(11)).integers(0, 1 << 63, (2, HASHES), dtype=np.uint64)
 _XOR, _FACTOR = _SEEDS[0] * U64(2), _SEEDS[1] * U64(2) + U64(1)
