@@ -87,14 +87,31 @@ def product_columns(record: Column) -> dict[str, Column]:
 
 
 def json_records(text: Column) -> Column:
-    """Elements of a JSON array as text, keys in their own order; null if no array."""
-    return F.when(text.rlike(r"^\s*\["), F.from_json(text, "array<string>"))
+    """Elements of a JSON array as text, keys in their own order; null if the text is not one whole array.
+
+    The parser stops at the end of a first value. Put into an array of its own, a text
+    with more after it gives several elements or none, and a text cut short ends the
+    object around it, so the two tests together let whole arrays through only.
+    """
+    alone = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>")
+    inside = F.from_json(F.concat(F.lit('{"a":'), text, F.lit("}")), "a array<string>")["a"]
+    return F.when(text.rlike(r"^\s*\[") & (F.size(alone) == 1), inside)
+
+
+def is_record(text: Column) -> Column:
+    """Whether a text is one whole JSON object with the three head fields; never null."""
+    alone = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>")
+    inside = F.from_json(F.concat(F.lit('{"a":'), text, F.lit("}")), "a map<string, string>")["a"]
+    has_head = [F.map_contains_key(inside, name) for name in ("product_id", "name", "category")]
+    whole = text.rlike(r"^\s*\{") & (F.size(alone) == 1) & has_head[0] & has_head[1] & has_head[2]
+    return F.coalesce(whole, F.lit(False))
 
 
 def json_array_status(text: Column) -> Column:
-    """`ok`, `not_array` or `malformed`."""
+    """`ok`, `not_array` or `malformed`; text after the first value is malformed."""
+    alone = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<string>")
     return (
         F.when(json_records(text).isNotNull(), "ok")
-        .when(F.try_parse_json(text).isNotNull(), "not_array")
+        .when(~text.rlike(r"^\s*\[") & F.try_parse_json(text).isNotNull() & (F.size(alone) == 1), "not_array")
         .otherwise("malformed")
     )

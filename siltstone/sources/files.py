@@ -17,15 +17,12 @@ from pyspark.sql import functions as F
 from siltstone.constants import INGEST_SEQ
 from siltstone.functions.casts import to_long
 from siltstone.functions.dates import csv_timestamp
-from siltstone.functions.nested import json_array_status, json_records
+from siltstone.functions.nested import is_record, json_array_status, json_records
 from siltstone.functions.text import header_name, strip
 from siltstone.operators.columns import apply_where_present, with_ingest_seq
 
 logger = logging.getLogger(__name__)
 
-# A JSON array is parsed by one task, whole.
-MAX_ARRAY_BYTES = 256 * 1024 * 1024
-
 CUSTOMER_TYPES: dict[str, Callable[[Column], Column]] = {
     "customer_id": to_long,
     "age": to_long,
@@ -99,24 +96,27 @@ def read_json_texts(spark: SparkSession, path: str) -> DataFrame:
     return scan.select(F.col("_metadata.file_path").alias("path"), "value")
 
 
-def validate_json_arrays(
-    spark: SparkSession, path: str, max_bytes: int = MAX_ARRAY_BYTES
-) -> None:
-    """Raise ValueError if a file is too large for one task, is not well-formed
-    JSON or not an array. The size is taken from the file listing."""
-    files = _scan(path, lambda: spark.read.format("binaryFile").load(path))
-    large = files.filter(F.col("length") > max_bytes).select("path").limit(1).collect()
-    if large:
-        raise ValueError(f"{large[0]['path']} is over {max_bytes} bytes: give one record per line")
+def _raise_first(bad: DataFrame) -> None:
+    """Raise ValueError for one row of (path, status), if there is any."""
+    found = bad.limit(1).collect()
+    if found:
+        raise ValueError(f"{found[0]['path']} is {found[0]['status']}: expected JSON records")
+
+
+def validate_json_arrays(spark: SparkSession, path: str) -> None:
+    """Raise ValueError if a file is not one well-formed JSON array of product records."""
     texts = read_json_texts(spark, path)
-    bad = (
-        texts.select("path", json_array_status(F.col("value")).alias("status"))
-        .filter("status <> 'ok'")
-        .limit(1)
-        .collect()
-    )
-    if bad:
-        raise ValueError(f"{bad[0]['path']} is {bad[0]['status']}: expected a JSON array")
+    status = json_array_status(F.col("value"))
+    odd = F.exists(json_records(F.col("value")), lambda record: ~is_record(record))
+    checked = texts.select("path", F.when(odd, "an array with elements that are no records").otherwise(status).alias("status"))
+    _raise_first(checked.filter("status <> 'ok'"))
+
+
+def validate_json_lines(spark: SparkSession, path: str) -> None:
+    """Raise ValueError if a line that is not blank is not one product record."""
+    lines = _scan(path, lambda: spark.read.text(path)).select(F.col("_metadata.file_path").alias("path"), "value")
+    bad = lines.filter(F.trim("value") != "").filter(~is_record(F.col("value")))
+    _raise_first(bad.select("path", F.lit("malformed or holds a line that is no record").alias("status")))
 
 
 def snapshot_records(texts: DataFrame, column: str = "raw_json") -> DataFrame:
@@ -133,11 +133,12 @@ def records_of_arrays(texts: DataFrame, column: str = "value") -> DataFrame:
 def read_products(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Product records as (product_id, name, category, raw_json).
 
-    A JSON array cannot be split, so each file is one task and its size is
-    checked. With `lines` the file holds one record per line, and Spark splits it
-    like any text, which is the form for a large catalogue.
+    A JSON array cannot be split, so each file is one task. With `lines` the file
+    holds one record per line, and Spark splits it like any text, which is the form
+    for a large catalogue. Anything but whole records raises ValueError.
     """
     if lines:
+        validate_json_lines(spark, path)
         texts = _scan(path, lambda: spark.read.text(path)).filter(F.trim("value") != "")
         return snapshot_records(texts.withColumnRenamed("value", "raw_json"))
     validate_json_arrays(spark, path)

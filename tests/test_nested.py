@@ -86,8 +86,8 @@ def test_null_specs_and_price_without_base(spark):
 
 
 def test_json_array_status(spark):
-    given = ['[{"a":1}]', "[]", '{"a":1}', '[{"a":1}', "5", "", ' \n[{"a":[1]}]']
-    expected = ["ok", "ok", "not_array", "malformed", "not_array", "malformed", "ok"]
+    given = ['[{"a":1}]', "[]", '{"a":1}', '[{"a":1}', "5", "", ' \n[{"a":[1]}]', "[1] x", "[1][2]", "[1],[2]", "[1]]", "1 x"]
+    expected = ["ok", "ok", "not_array", "malformed", "not_array", "malformed", "ok"] + ["malformed"] * 5
     assert applied(spark, json_array_status, given) == expected
 
 

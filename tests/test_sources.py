@@ -100,17 +100,31 @@ def test_products_as_array_or_lines(spark, tmp_path, lines):
     assert texts == {r["product_id"]: r for r in RECORDS}
 
 
-@pytest.mark.parametrize("text, status", [('{"a": 1}', "not_array"), ("[{", "malformed")])
-def test_json_that_is_no_array_is_an_error(spark, tmp_path, text, status):
+HEAD = '{"product_id":"P","name":"n","category":"c"}'
+
+
+@pytest.mark.parametrize(
+    "text, status",
+    [
+        ('{"a": 1}', "not_array"),
+        ("[{", "malformed"),
+        (f"[{HEAD}] garbage", "malformed"),
+        (f"[{HEAD}][{HEAD}]", "malformed"),
+        (f"[{HEAD}],[{HEAD}]", "malformed"),
+        (f"[{HEAD},1]", "no records"),
+        (f"[{HEAD},null]", "no records"),
+        ('[{"name":"n","category":"c"}]', "no records"),
+    ],
+)
+def test_json_that_is_no_array_of_records_is_an_error(spark, tmp_path, text, status):
     with pytest.raises(ValueError, match=status):
         validate_json_arrays(spark, put(tmp_path, "p.json", text))
 
 
-def test_large_json_array_is_refused(spark, tmp_path):
-    path = put(tmp_path, "p.json", "[" + " " * 100 + "]")
-    validate_json_arrays(spark, path, max_bytes=102)
-    with pytest.raises(ValueError, match="one record per line"):
-        validate_json_arrays(spark, path, max_bytes=101)
+@pytest.mark.parametrize("line", ['{"product_id":"P","na', f"{HEAD} junk", f"[{HEAD}]", "1", '{"name":"n"}'])
+def test_lines_that_are_no_records_are_an_error(spark, tmp_path, line):
+    with pytest.raises(ValueError, match="no record"):
+        read_products(spark, put(tmp_path, "p.jsonl", f"{HEAD}\n\n{line}\n"), lines=True)
 
 
 def frame(spark, *records):
