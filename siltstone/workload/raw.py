@@ -266,12 +266,14 @@ JSON_FILES = RawTable(
     "part",
     {
         "file_id": "p_partkey",
-        "value": f"""case p_partkey % 6
+        "value": f"""case p_partkey % 8
             when 0 then '[' || {_RECORD} || ']'
             when 1 then {_RECORD}
             when 2 then '[' || {_RECORD}
             when 3 then '[]'
             when 4 then ' ' || {_text('p_size')}
+            when 6 then '[' || {_RECORD} || '] garbage'
+            when 7 then '[' || {_RECORD} || '][' || {_RECORD} || ']'
             else '[' || {_RECORD} || ',' || {_RECORD} || ']' end""",
     },
 )
