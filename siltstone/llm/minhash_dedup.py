@@ -7,12 +7,14 @@ is dropped once the posterior probability of reaching the threshold (uniform pri
 falls under `miss`; what is left is confirmed on the full shingle sets.
 
 Buckets never emit all their pairs. In a bucket every member is first compared
-with the smallest one; members found similar to it need no comparison with each
-other, so a bucket of near copies is done after one comparison each. Where members
-are left over, the bucket is cut into blocks of about `BLOCK` members, and pairs of
-blocks are compared inside tasks, which pass on links only. A pair that meets in
-several buckets is compared in the first of them. No pair that shares a bucket
-and is not known to be connected is left out.
+with the smallest one, and links found become components. A bucket whose members
+lie in one component is done. In the others a member drawn from the largest
+component is compared with all outside that component, in rounds that each cost one
+row per open member, for as long as a round at least halves the outsiders. What is
+left is worked off whole: blocks of about `BLOCK` outsiders meet blocks of as many
+members inside tasks, which pass on links only. A pair that meets in several
+buckets is compared there in the first of them. No pair that shares a bucket and is
+not known to be connected is left out.
 
 Nulls: a null text has no shingles, as an empty one, and links with nothing. A row
 with a null id is kept as a component of its own with null component_id. Rows that
@@ -182,11 +184,11 @@ def verified(pairs: DataFrame, faces: DataFrame, size: int, percent: int, miss:
 
 
 def _block_comparer(size: int, percent: int, miss: float):
-    """Links between members of two blocks (or within one) of a bucket."""
+    """Links of a block of outsiders of a bucket with a block of its members."""
     steps = least_matches(percent / 100, miss)
 
     def compare(unit: pa.Table) -> pa.Table:
-        ids, tied, block = (unit.column(c).to_numpy() for c in ("id", "tied", "block"))
+        ids, component, asks, outside = (unit.column(c).to_numpy() for c in ("id", "component", "asks", "outside"))
         band = unit.column("band")[0].as_py()
         sigs = _signatures(unit.column("sig"))
         keys = band_keys(sigs)
@@ -199,47 +201,83 @@ def _block_comparer(size: int, percent: int, miss: float):
                 held[i] = shingle_set(part.hashes(), size)
             return held[i]
 
-        one, two = unit.column("unit")[0].as_py()
+        now = component.copy()  # links found here join components for the rest of the unit
         found = []
-        for i in np.flatnonzero(block == one):
-            other = np.flatnonzero(((block == two) if one != two else (ids > ids[i])) & ~(tied & tied[i]))
+        for i in np.flatnonzero(asks):
+            other = np.flatnonzero(~asks & (now != now[i]) & (~outside | (ids > ids[i])))
             other = other[~(keys[other, :band] == keys[i, :band]).any(axis=1)]
             other = other[survivors(np.broadcast_to(sigs[i], (len(other), HASHES)), sigs[other], steps)]
-            found += [(ids[i], ids[j]) for j in other if similar(shingles(i), shingles(j), percent)]
+            for j in other[np.argsort(-(sigs[other] == sigs[i]).sum(axis=1), kind="stable")]:
+                if now[i] != now[j] and similar(shingles(i), shingles(j), percent):
+                    found.append((ids[i], ids[j]))
+                    now[now == now[j]] = now[i]
         a, b = (np.array([f[k] for f in found], dtype=np.int64) for k in (0, 1))
         return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
     return compare
 
 
-def left_over(members: DataFrame, links: DataFrame, faces: DataFrame, size: int, percent: int, miss: float) -> DataFrame:
-    """Links in buckets whose members are not all tied to the first one."""
-    tied = links.select(F.col("a").alias("pivot"), F.col("b").alias("id"), F.lit(True).alias("linked"))
-    known = members.join(own_shuffle(tied, "pivot", "id"), ["pivot", "id"], "left").select(
-        "key", "band", "id", (F.col("linked").isNotNull() | (F.col("id") == F.col("pivot"))).alias("tied")
+def _open_buckets(members: DataFrame, labels: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
+    """Members with their components, and the buckets that hold more than one component."""
+    component = F.coalesce("component", "id").alias("component")
+    tagged = written(members.join(own_shuffle(labels, "id"), "id", "left").select("key", "band", "id", component), "tagged")
+    drawn = F.min(F.struct(F.xxhash64("id", F.lit(turn)).alias("draw"), "id"))["id"]
+    parts = tagged.groupBy("key", "component").agg(F.count("*").alias("n"), drawn.alias("pivot"))
+    largest = F.max(F.struct("n", "component", "pivot")).alias("largest")
+    buckets = parts.groupBy("key").agg(F.count("*").alias("parts"), F.sum("n").alias("n"), largest).filter("parts > 1")
+    return tagged, written(
+        buckets.select("key", "n", (F.col("n") - F.col("largest.n")).alias("outsiders"), "largest.component", "largest.pivot")
+        .withColumnRenamed("component", "main"),
+        "open",
     )
-    known = written(known, "tied")
-    open_keys = (
-        known.groupBy("key").agg(F.count("*").alias("n"), F.count_if("tied").alias("t"))
-        .filter("n > t and n > 2").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    )
-    block = F.pmod(F.hash("id"), "blocks").alias("block")
-    partner = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("partner")
-    units = (
-        known.join(own_shuffle(open_keys, "key"), "key")
-        .select("key", "band", "id", "tied", "blocks", block)
-        .select("key", "band", "id", "tied", "block", partner)
-        .withColumn("unit", F.array(F.least("block", "partner"), F.greatest("block", "partner")))
-        .select("key", "band", "id", "tied", "block", "unit")
+
+
+def _left_over(tagged: DataFrame, buckets: DataFrame, faces: DataFrame, size: int, percent: int, miss: float) -> DataFrame:
+    """Links of every outsider of an open bucket with the members of other components."""
+    blocks = buckets.select(
+        "key", "main", F.ceil(F.col("n") / BLOCK).cast("int").alias("all"), F.ceil(F.col("outsiders") / BLOCK).cast("int").alias("few")
     )
+    rows = tagged.join(own_shuffle(blocks, "key"), "key").withColumn("outside", F.col("component") != F.col("main"))
+
+    def dealt(rows: DataFrame, asks: bool) -> DataFrame:
+        own, across = ("few", "all") if asks else ("all", "few")
+        unit = [F.col("across"), F.pmod(F.hash("id"), own).alias("own")]
+        spread = rows.withColumn("across", F.explode(F.sequence(F.lit(0), F.col(across) - 1)))
+        return spread.select(
+            "key", "band", "id", "component", "outside", F.lit(asks).alias("asks"), F.array(*(unit if asks else unit[::-1])).alias("unit")
+        )
+
     return written(
-        units.join(faces, "id")
+        dealt(rows.filter("outside"), True).union(dealt(rows, False)).join(faces, "id")
         .groupBy("key", "unit")
         .applyInArrow(_block_comparer(size, percent, miss), "a long, b long"),
         "others",
     )
 
 
+def linked(members: DataFrame, faces: DataFrame, size: int, percent: int, miss: float) -> DataFrame:
+    """(id, component) over all similar pairs that share a bucket; members: (key, band, id, pivot, n)."""
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        ends = pairs.select(F.least("pivot", "id").alias("a"), F.greatest("pivot", "id").alias("b"))
+        return verified(ends.distinct(), faces, size, percent, miss)
+
+    labels = written(components(compared(members.filter("id != pivot"))), "labels")
+    members = members.filter("n > 2").drop("pivot", "n")
+    turn, before = 0, None
+    while True:
+        tagged, buckets = _open_buckets(members, labels, turn)
+        outsiders = buckets.agg(F.sum("outsiders")).first()[0] or 0
+        known = labels.select(F.col("id").alias("a"), F.col("component").alias("b"))
+        if not outsiders:
+            return labels
+        if before is not None and 2 * outsiders > before:
+            return components(known.union(_left_over(tagged, buckets, faces, size, percent, miss)))
+        pairs = tagged.join(own_shuffle(buckets.select("key", "main", "pivot"), "key"), "key").filter("component != main")
+        labels = written(components(known.union(compared(pairs))), "labels")
+        turn, before = turn + 1, outsiders
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, miss: float = MISS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row for each row of `docs`.
 
@@ -256,7 +294,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, miss: flo
     firsts = written(firsts.select(F.col("doc_id").alias("id"), "sig", "bands"), "firsts")
     entries = firsts.select("id", F.posexplode("bands").alias("band", "key"))
     full = entries.groupBy("key").agg(F.min("id").alias("pivot"), F.count("*").alias("n")).filter("n > 1")
-    members = written(entries.join(own_shuffle(full, "key"), "key").select("key", "band", "id", "pivot"), "members")
+    members = written(entries.join(own_shuffle(full, "key"), "key").select("key", "band", "id", "pivot", "n"), "members")
     faces = (
         members.select("id").distinct()
         .join(firsts.select("id", "sig"), "id")
@@ -264,10 +302,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, miss: flo
     )
     faces = written(faces.select("id", "sig", "text"), "faces")
 
-    pairs = members.filter("id != pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
-    links = verified(pairs, faces, size, percent, miss)
-    labels = components(links.union(left_over(members, links, faces, size, percent, miss)))
-
+    labels = linked(members, faces, size, percent, miss)
     by_class = classes.join(labels.withColumnsRenamed({"id": "rep"}), "rep", "left").select(
         "print", F.coalesce("component", "rep").alias("component_id")
     )

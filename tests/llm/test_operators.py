@@ -1,5 +1,6 @@
 """Operators against the libraries or brute force, with nulls, empty texts and repeated rows."""
 
+import random
 import re
 import struct
 from collections import Counter
@@ -85,22 +86,39 @@ def test_repeats_match_brute_force(docs, empty):
     assert without_repeats(empty).count() == 0
 
 
-def test_near_duplicates_match_brute_force(docs, empty):
-    def shingles(text):
-        own = words((text or "").lower())
-        return {tuple(own[i : i + 3]) for i in range(max(len(own) - 2, min(len(own), 1)))}
+def shingles(text, size=3):
+    own = words((text or "").lower())
+    return {tuple(own[i : i + size]) for i in range(max(len(own) - size + 1, min(len(own), 1)))}
 
-    sets = {k: shingles(t) for k, t in TEXTS}
+
+def lowest_reachable(sets, percent=85):
     lowest = {k: k for k in sets}
-    for _ in sets:
-        for a, b in combinations(sets, 2):
-            if sets[a] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
-                lowest[a] = lowest[b] = min(lowest[a], lowest[b])
+    for a, b in combinations(sets, 2):
+        if sets[a] and lowest[a] != lowest[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+            low, high = sorted((lowest[a], lowest[b]))
+            lowest = {k: low if v == high else v for k, v in lowest.items()}
+    return lowest
+
+
+def test_near_duplicates_match_brute_force(docs, empty):
+    sets = {k: shingles(t) for k, t in TEXTS}
+    lowest = lowest_reachable(sets)
     found = {r.doc_id: tuple(r)[1:] for r in near_duplicates(docs, size=3, percent=85).collect()}
     assert found == {k: (len(sets[k]), lowest[k], lowest[k] == k) for k in sets}
     assert near_duplicates(empty).count() == 0
 
 
+def test_large_group_around_the_threshold(spark):
+    draw = random.Random(5)
+    base = [f"w{i}" for i in range(120)]
+    texts = {k: " ".join(f"x{k}" if draw.random() < 0.004 * (k % 12) else w for w in base) for k in range(1, 400)}
+    sets = {k: shingles(t) for k, t in texts.items()}
+    lowest = lowest_reachable(sets)
+    assert 20 < len(set(lowest.values())) < 350
+    found = near_duplicates(spark.createDataFrame(list(texts.items()), SCHEMA), size=3, percent=85)
+    assert {r.doc_id: r.component_id for r in found.collect()} == lowest
+
+
 def test_near_vectors(spark):
     rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [1.0, 0.1]), (4, [0.0, 1.0]), (5, None), (6, [0.0, 0.0]), (7, [float("nan"), 1.0])]
     vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
