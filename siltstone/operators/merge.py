@@ -68,11 +68,14 @@ def fresh_rows(deltas: DataFrame, stamp: str, mark: Column, seq: str | None) ->
     delta a running maximum, and the whole sequence one filter. The window and
     the broadcast hold one row per delta, whatever the deltas' sizes. No mark is
     below the first, so that one filters at the scan.
-    Without `seq` the frame is a single delta.
+    Without `seq` the frame is a single delta. A row past the first mark without a
+    number ends the job: its place among the deltas is not known.
     """
     deltas = newer_than(deltas, stamp, mark)
     if seq is None:
         return deltas
+    unnumbered = F.raise_error(F.lit("delta row without a delta number")).cast(deltas.schema[seq].dataType)
+    deltas = deltas.withColumn(seq, F.coalesce(F.col(seq), unnumbered))
     tops = deltas.groupBy(seq).agg(F.max(stamp).alias("_top"))
     earlier = Window.orderBy(seq).rowsBetween(Window.unboundedPreceding, -1)
     floors = tops.select(seq, F.greatest(F.max("_top").over(earlier), mark).alias("_floor"))

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import at, rows
-from siltstone.operators.merge import fold, high_watermark
+from siltstone.operators.merge import fold, fresh_rows, high_watermark
 from siltstone.plans.bronze import full_load
 from siltstone.sources.lake import Lake
 from siltstone.streaming.deltas import stream_deltas
@@ -55,3 +55,10 @@ def test_stream_equals_fold_and_reads_each_delta_once(spark, setup):
     assert rows(lake.read("bronze", "t")) == rows(expected)
     run()
     assert lake.last_commit("bronze", "t") == last
+
+
+def test_row_without_delta_number_is_an_error(spark):
+    deltas = frame(spark, (1, "new", "2024-01-03")).withColumn("delta", F.lit(None).cast("int"))
+    mark = F.lit("2024-01-02").cast("timestamp_ntz")
+    with pytest.raises(Exception, match="without a delta number"):
+        fresh_rows(deltas, "ts", mark, "delta").collect()
