@@ -44,9 +44,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
-    """New folder name under spark.checkpoint.dir, or under the warehouse where that is unset."""
+    """New folder name under spark.checkpoint.dir, or, on one machine, under the warehouse where that is unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         root = spark.conf.get("spark.sql.warehouse.dir") + "/_scratch"
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
@@ -65,12 +67,20 @@ def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(SHUFFLE_CLEANUP, before)
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
-    """`df` as a table in the shared folder: lineage ends there, and any executor can read it."""
+def quoted(name: str) -> str:
+    """A column's name as Spark's functions take it, whatever characters it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def written(df: DataFrame, purpose: str, *by: str) -> DataFrame:
+    """`df` as a table in the shared folder, in a folder for each value of `by`.
+
+    Lineage ends there, and any executor can read it.
+    """
     spark = df.sparkSession
     path = scratch_folder(spark, purpose)
     with _shuffles_removed(spark):
-        df.write.parquet(path)
+        df.write.partitionBy(*by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -1,7 +1,7 @@
 """Lines that many documents share, by levelled sorted runs of line hashes. DataFrame functions only.
 
 A line's key is the line without blanks and U+0009..U+000D at both ends, A-Z
-lower-cased, known by 128 bits of hash. Documents come in batches. A run is a table
+lower-cased, known by 128 bits of hash; the empty key is never repeated. Documents come in batches. A run is a table
 (key, documents that hold it, largest id), bucketed and sorted by key, so that runs
 are joined without a shuffle of theirs. Each new batch is reduced to one row for each
 key, merge-anti-joined with the runs (a key that a run has already settled, in
@@ -30,17 +30,28 @@ from siltstone.llm.common import own_shuffle, quoted, scratch_folder, written
 
 LEAST_CHARS = 20
 LEAST_DOCS = 3
-BATCHES, FANOUT = 6, 3
+BATCHES, FANOUT = 4, 3
 KEY = ["h1", "h2"]
+RUN = "h1 long, h2 long, docs long, last long"
 
-_WHITE = " \t\n\x0b\x0c\r"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_WHITE = " \t\x0b\f\r"
+# tried at the start of a run of blanks only, so that long runs stay cheap
+_OUTER = r"^[ \t\x0B\f\r]++|(?<![ \t\x0B\f\r])[ \t\x0B\f\r]++$"
 
 
-def line_key(line: Column) -> Column:
-    bare = F.btrim(line, F.lit(_WHITE))
-    ascii_only = F.octet_length(bare) == F.char_length(bare)  # lower() is A-Z alone there, and faster
-    return F.when(ascii_only, F.lower(bare)).otherwise(F.translate(bare, _UPPER, _LOWER))
+def folded(text: Column) -> Column:
+    """A-Z in lower case; lower() does just that in ASCII, replace() is many times faster than translate()."""
+    rest = text
+    for upper, lower in zip(_UPPER, _LOWER, strict=True):
+        rest = F.replace(rest, F.lit(upper), F.lit(lower))
+    return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(rest)
+
+
+def stripped(line: Column) -> Column:
+    """Without the blanks at both ends; most lines have none and are left as they are."""
+    outer = [test(line, F.lit(c)) for c in _WHITE for test in (F.startswith, F.endswith)]
+    return F.when(reduce(Column.__or__, outer), F.regexp_replace(line, _OUTER, "")).otherwise(line)
 
 
 def _hashes(value: Column) -> list[Column]:
@@ -53,52 +64,50 @@ class LineRuns:
     def __init__(self, spark: SparkSession, least_docs: int = LEAST_DOCS, fanout: int = FANOUT):
         self.spark, self.least_docs, self.fanout = spark, least_docs, fanout
         self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.levels: list[list[DataFrame]] = []
+        self.levels: list[list[str]] = []
+        self.paths: dict[str, str] = {}  # of the runs by table name
 
     def add(self, lines: DataFrame) -> None:
         """A batch of (doc_id, h1, h2)."""
         fresh = lines.distinct().groupBy(KEY).agg(F.count("*").alias("docs"), F.max("doc_id").alias("last"))
         for run in self._runs():
-            done = run.filter(F.col("docs") >= self.least_docs).select(*KEY, F.col("last").alias("newest"))
+            done = self.spark.table(run).filter(F.col("docs") >= self.least_docs).select(*KEY, F.col("last").alias("newest"))
             at = (fresh["h1"] == done["h1"]) & (fresh["h2"] == done["h2"]) & (done["newest"] >= fresh["last"])
             fresh = fresh.join(done, at, "left_anti")
-        self._place(self._sorted(fresh), 0)
+        self._place(fresh, 0)
 
     def repeated(self) -> DataFrame:
         """(h1, h2, last) of the keys in at least `least_docs` documents."""
-        runs = self._runs()
-        if not runs:
-            return self.spark.createDataFrame([], "h1 long, h2 long, last long")
-        return self._merged(runs).filter(F.col("docs") >= self.least_docs).select(*KEY, "last")
+        return self._merged(self._runs()).filter(F.col("docs") >= self.least_docs).select(*KEY, "last")
+
+    def close(self) -> None:
+        """Forget the tables' names; their files lie in the scratch folder."""
+        for run in self.paths:
+            self.spark.sql(f"drop table if exists {run}")
 
-    def _runs(self) -> list[DataFrame]:
+    def _runs(self) -> list[str]:
         return [run for level in self.levels for run in level]
 
-    def _merged(self, runs: list[DataFrame]) -> DataFrame:
-        if len(runs) == 1:
-            return runs[0]
-        return reduce(DataFrame.union, runs).groupBy(KEY).agg(F.sum("docs").alias("docs"), F.max("last").alias("last"))
+    def _merged(self, runs: list[str]) -> DataFrame:
+        # from the files: Spark 4.1 takes a union of bucketed tables for partitioned by key, but appends their buckets
+        rows = self.spark.read.schema(RUN).parquet(*[self.paths[r] for r in runs])
+        return rows.groupBy(KEY).agg(F.sum("docs").alias("docs"), F.max("last").alias("last"))
 
-    def _place(self, run: DataFrame, level: int) -> None:
+    def _place(self, rows: DataFrame, level: int) -> None:
         if level == len(self.levels):
             self.levels.append([])
-        self.levels[level].append(run)
+        self.levels[level].append(self._sorted(rows))
         if len(self.levels[level]) == self.fanout:
-            merged = self._sorted(self._merged(self.levels[level]))
-            self.levels[level] = []
+            merged, self.levels[level] = self._merged(self.levels[level]), []
             self._place(merged, level + 1)
 
-    def _sorted(self, rows: DataFrame) -> DataFrame:
+    def _sorted(self, rows: DataFrame) -> str:
         path = scratch_folder(self.spark, "run")
         name = path.rpartition("/")[2].replace("-", "_")
         writer = rows.repartition(self.buckets, *KEY).write.bucketBy(self.buckets, *KEY).sortBy(*KEY)
         writer.option("path", path).saveAsTable(name)
-        return self.spark.table(name)
-
-    def close(self) -> None:
-        """Forget the tables' names; their files lie in the scratch folder."""
-        for run in self._runs():
-            self.spark.sql(f"drop table if exists {run.inputFiles()[0].split('/')[-2].replace('-', '_')}")
+        self.paths[name] = path
+        return name
 
 
 def _cuts(docs: DataFrame, batches: int) -> list[int]:
@@ -138,9 +147,9 @@ def without_repeated_lines(
     batch = sum((F.when(F.col("doc_id") <= c, 1).otherwise(0) for c in cuts), F.lit(0))
     lines = (
         texts.withColumns(marks)
-        .select("doc_id", "_tag1", "_tag2", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-        .select("doc_id", "_tag1", "_tag2", "pos", line_key(F.col("line")).alias("key"))
-        .filter(F.char_length("key") >= least_chars)
+        .select("doc_id", "_tag1", "_tag2", F.posexplode(F.split(folded(F.col("text")), "\n")).alias("pos", "line"))
+        .select("doc_id", "_tag1", "_tag2", "pos", stripped(F.col("line")).alias("key"))
+        .filter(F.char_length("key") >= max(least_chars, 1))
         .select("doc_id", "_tag1", "_tag2", "pos", *_hashes(F.col("key")), batch.alias("batch"))
     )
     lines = written(lines, "lines", "batch")
