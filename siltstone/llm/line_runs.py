@@ -54,7 +54,7 @@ def stripped(line: Column) -> Column:
     return F.when(reduce(Column.__or__, outer), F.regexp_replace(line, _OUTER, "")).otherwise(line)
 
 
-def _hashes(value: Column) -> list[Column]:
+def line_hashes(value: Column) -> list[Column]:
     return [F.xxhash64(value).alias("h1"), F.xxhash64(F.lit("line"), value).alias("h2")]
 
 
@@ -150,7 +150,7 @@ def without_repeated_lines(
         .select("doc_id", "_tag1", "_tag2", F.posexplode(F.split(folded(F.col("text")), "\n")).alias("pos", "line"))
         .select("doc_id", "_tag1", "_tag2", "pos", stripped(F.col("line")).alias("key"))
         .filter(F.char_length("key") >= max(least_chars, 1))
-        .select("doc_id", "_tag1", "_tag2", "pos", *_hashes(F.col("key")), batch.alias("batch"))
+        .select("doc_id", "_tag1", "_tag2", "pos", *line_hashes(F.col("key")), batch.alias("batch"))
     )
     lines = written(lines, "lines", "batch")
 
