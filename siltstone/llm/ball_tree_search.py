@@ -8,11 +8,12 @@ nothing, so only the items' terms are kept.
 Vectors are dealt out by the term that weighs most in them, so that like ones meet. Each
 task builds ball trees over up to `TREE` of them: a node is split by the nearer of two
 far members until it holds `LEAF`, and keeps its centroid and radius. An item's inner
-product with any member is at most that with the centroid plus the item's length times
-the radius; the bound is rounded up by more than its own error. An item goes through the
-nodes of a tree best bound first and stops at a bound under its worst of the best so
-far, kept from tree to tree; scores at the leaves are 64-bit integers. Every task hands
-on its best for each item, and the best of those are the result.
+product with any member is at most that with the centroid plus the radius times the
+item's length, taken over the terms that the node's members hold; the bound is rounded up
+by more than its own error. An item goes through the nodes of a tree best bound first and
+stops at a bound under its worst of the best so far, kept from tree to tree; scores at
+the leaves are 64-bit integers. Every task hands on its best for each item, and the best
+of those are the result.
 
 Items are worked off in blocks of about `BLOCK_BYTES` of text, each with a pass over the
 documents of its own, so what is sent to the tasks (the block's terms and items) does not
@@ -166,7 +167,8 @@ class BallTree:
         self.order = np.arange(size)
         self.vectors, self.items = vectors, items
         self.nodes: list[tuple[int, int, tuple[int, int] | None]] = []
-        self.lengths = np.sqrt(np.bincount(items.item, items.times.astype(np.float64) ** 2, len(items.ids)))
+        self.count = len(items.ids)
+        self.squared = items.times.astype(np.float64) ** 2
         self._bounds: list[np.ndarray] = []
         self._build(0, size, leaf)
         self.bounds = np.array(self._bounds)
@@ -181,10 +183,12 @@ class BallTree:
         away = squares - 2 * near + middle
         # cancellation in `away` and rounding of the sums stay far below a billionth of the terms
         radius = math.sqrt(max(float(away.max()), 0.0) + 1e-9 * largest)
-        product = np.bincount(self.items.item, centroid[self.items.term] * self.items.times, len(self.lengths))
+        means = centroid[self.items.term]
+        product = np.bincount(self.items.item, means * self.items.times, self.count)
+        lengths = np.sqrt(np.bincount(self.items.item, np.where(means > 0, self.squared, 0.0), self.count))
         at = len(self.nodes)
         self.nodes.append((first, stop, None))
-        self._bounds.append((product + self.lengths * radius) * (1 + 1e-9) + 1)
+        self._bounds.append((product + lengths * radius) * (1 + 1e-9) + 1)
         if count > leaf:
             sides = self._sides(own, squares, away)
             order = np.argsort(sides, kind="stable")
