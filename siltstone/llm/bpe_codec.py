@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.bpe import BEYOND, HELD_CHARS, HELD_WORDS, WORD_PATTERN, Vocabulary, file_content, merged, vocabulary
-from siltstone.llm.common import per_process
+from siltstone.llm.common import per_process, whole_row, with_rest
 
 PIECE = 32_768
 
@@ -149,7 +149,7 @@ def _packed(ids: list[np.ndarray]) -> pa.Array:
     return pa.array([i.astype("<u4").tobytes() for i in ids], pa.binary())
 
 
-CODED = "rest {rest}, n_tokens long, ids binary, decoded string"
+CODED = "n_tokens long, ids binary, decoded string"
 
 
 def _coded(encoder: Encoder, rest: pa.Array, ids: list[np.ndarray]) -> pa.RecordBatch:
@@ -222,9 +222,8 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
     own = {"text", "n_tokens", "ids", "decoded"}
     carried = [c for c in docs.columns if c not in own]
     text = F.coalesce("text", F.lit(""))
-    rows = docs.select(F.struct(*carried).alias("rest"), text.alias("text"))
-    kind = rows.schema["rest"].dataType.simpleString()
-    coded = CODED.format(rest=kind)
+    rows = docs.select(whole_row(carried).alias("rest"), text.alias("text"))
+    coded = with_rest(rows, CODED)
     short = rows.filter(F.length("text") <= PIECE).mapInArrow(_whole(content), coded)
 
     long = rows.filter(F.length("text") > PIECE).withColumn("key", F.sha2("text", 256))
@@ -232,6 +231,6 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
     cut = long.select("key", "text").dropDuplicates(["key"]).mapInArrow(_cutter(content), "key string, piece int, kind int, text string")
     parts = cut.repartition(tasks, "key", "piece").mapInArrow(_piecewise(content), "key string, piece int, kind int, ids binary")
     whole = parts.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("piece", "kind", "ids"))).alias("parts"))
-    grown = whole.mapInArrow(_grower(content), CODED.format(rest="string")).withColumnRenamed("rest", "key")
+    grown = whole.mapInArrow(_grower(content), f"rest string, {CODED}").withColumnRenamed("rest", "key")
     joined = long.select("key", "rest").join(grown, "key").select("rest", "n_tokens", "ids", "decoded")
     return short.union(joined).select("rest.*", "n_tokens", "ids", "decoded")

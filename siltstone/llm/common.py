@@ -8,8 +8,9 @@ import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -72,6 +73,16 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def whole_row(columns: list[str]) -> Column:
+    """The columns as one struct."""
+    return F.struct(*[F.col(quoted(c)) for c in columns])
+
+
+def with_rest(df: DataFrame, more: str) -> StructType:
+    """The schema of the struct `rest` of `df` and of further columns."""
+    return StructType([StructField("rest", df.schema["rest"].dataType), *StructType.fromDDL(more).fields])
+
+
 def written(df: DataFrame, purpose: str, *by: str) -> DataFrame:
     """`df` as a table in the shared folder, in a folder for each value of `by`.
 

@@ -20,7 +20,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import own_shuffle, written
+from siltstone.llm.common import own_shuffle, whole_row, written
 
 KEY_BITS = 60
 SPARE_BITS = 4
@@ -55,7 +55,7 @@ def sharded(docs: DataFrame, limit: int = SHARD_BYTES) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     digest = F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), text))
     keyed = docs.select(
-        F.struct(*carried).alias("rest"),
+        whole_row(carried).alias("rest"),
         F.octet_length(text).cast("long").alias("n_bytes"),
         F.conv(F.substring(digest, 1, KEY_BITS // 4), 16, 10).cast("long").alias("key"),
     )

@@ -20,7 +20,6 @@ null language is a language of its own. Rows that repeat are scored each. Column
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 from functools import reduce
 
@@ -28,13 +27,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from siltstone.llm.common import own_shuffle, per_process, written
+from siltstone.llm.common import own_shuffle, quoted, whole_row, with_rest, written
 
 ORDER = 5
 BITS = 12
 UNITS = 1 << BITS
 QUANTILE = 0.995
+NO_LANG = "\x00"
 BROADCAST_ROWS = 4_000_000
 BROADCAST_IDS = 1_000_000
 CHUNK_CHARS = 1 << 23
@@ -176,18 +177,22 @@ def scored_codes(counts: DataFrame, wanted: DataFrame) -> DataFrame:
     return below.select("lang", "code", F.log("p").alias("score"))
 
 
+def _by_lang(table: pa.Table) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """Sorted codes and their scores of each language."""
+    found = {}
+    langs = table.column("lang").combine_chunks().dictionary_encode()
+    which = langs.indices.to_numpy()
+    keys, scores = table.column("code").to_numpy(), table.column("score").to_numpy()
+    for i, lang in enumerate(langs.dictionary.to_pylist()):
+        own = np.flatnonzero(which == i)
+        own = own[np.argsort(keys[own])]
+        found[lang] = keys[own], scores[own].astype(np.float32)
+    return found
+
+
 class _Scores:
-    """Sorted codes and their scores by language."""
-
-    def __init__(self, table: pa.Table):
-        self.by_lang = {}
-        langs = table.column("lang").dictionary_encode().combine_chunks()
-        which = langs.indices.to_numpy()
-        keys, scores = table.column("code").to_numpy(), table.column("score").to_numpy()
-        for i, lang in enumerate(langs.dictionary.to_pylist()):
-            own = np.flatnonzero(which == i)
-            own = own[np.argsort(keys[own])]
-            self.by_lang[lang] = keys[own], scores[own].astype(np.float32)
+    def __init__(self, by_lang: dict[str, tuple[np.ndarray, np.ndarray]]):
+        self.by_lang = by_lang
 
     def perplexities(self, langs: list[str], texts: list[str | None]) -> list[float | None]:
         out: list[float | None] = [None] * len(texts)
@@ -212,22 +217,23 @@ def _with_perplexity(rest: pa.Array, scores: _Scores, langs: pa.Array, texts: pa
     return pa.RecordBatch.from_arrays([rest, found], names=["rest", "perplexity"])
 
 
-def _scored_here(table, name: str):
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with_scores = per_process(name, lambda: _Scores(pa.ipc.open_stream(table.value).read_all()))
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                yield _with_perplexity(part.column(0), with_scores, part.column(1), part.column(2))
+def _scored_here(sent):
+    def score(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        scores = _Scores(sent.value)
+        for langs, texts in batches:
+            found = []
+            for at in range(0, len(texts), 500):
+                found += scores.perplexities(langs.slice(at, 500).to_pylist(), texts.slice(at, 500).to_pylist())
+            yield pa.array(found, pa.float64())
 
     return score
 
 
-def _scored_by_chunk(rows: DataFrame, scores: DataFrame, schema: str) -> DataFrame:
-    """Texts and the scores of their codes meet chunk by chunk."""
+def _scored_by_chunk(rows: DataFrame, scores: DataFrame, schema: StructType) -> DataFrame:
+    """Texts and the scores of their codes meet chunk by chunk; rows are dealt by number, so equal texts spread."""
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
     chunks = 1 + chars // CHUNK_CHARS
-    placed = rows.withColumn("chunk", F.pmod(F.xxhash64("text"), F.lit(chunks)))
+    placed = written(rows.withColumn("chunk", F.pmod(F.monotonically_increasing_id(), F.lit(chunks))), "placed")
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -245,7 +251,7 @@ def _scored_by_chunk(rows: DataFrame, scores: DataFrame, schema: str) -> DataFra
         if not left.num_rows:
             return pa.table({"rest": left.column("rest"), "perplexity": pa.array([], pa.float64())})
         columns = (left.column(c).combine_chunks() for c in ("lang", "text"))
-        part = _with_perplexity(left.column("rest").combine_chunks(), _Scores(right), *columns)
+        part = _with_perplexity(left.column("rest").combine_chunks(), _Scores(_by_lang(right)), *columns)
         return pa.Table.from_batches([part])
 
     return placed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(score, schema)
@@ -258,24 +264,25 @@ def _ids(trusted: DataFrame) -> DataFrame:
 
 
 def perplexities(docs: DataFrame, trusted: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """(rest, perplexity): the columns of `docs` as a struct, and the perplexity under the trusted texts' model."""
-    lang = F.coalesce(F.col("lang"), F.lit(""))
+    """The columns of `docs` with the perplexity under the trusted texts' model."""
+    lang = _lang()
     texts = docs.select("doc_id", lang.alias("lang"), "text")
     taught = texts.join(_ids(trusted), "doc_id", "left_semi")
     counts = written(code_counts(taught.filter(~held_out())), "counts")
     wanted = written(code_counts(texts).select(KEY), "codes")
     scores = written(scored_codes(counts, wanted), "scores")
 
-    rows = docs.select(F.struct(*docs.columns).alias("rest"), lang.alias("lang"), "text")
-    schema = f"rest {rows.schema['rest'].dataType.simpleString()}, perplexity double"
     if scores.count() > broadcast_rows:
-        return _scored_by_chunk(rows, scores, schema)
-    sink = pa.BufferOutputStream()
-    table = scores.toArrow()
-    with pa.ipc.new_stream(sink, table.schema) as writer:
-        writer.write_table(table)
-    sent = docs.sparkSession.sparkContext.broadcast(sink.getvalue().to_pybytes())
-    return rows.mapInArrow(_scored_here(sent, f"scores {uuid.uuid4()}"), schema)
+        rows = docs.select(whole_row(docs.columns).alias("rest"), lang.alias("lang"), "text")
+        return _scored_by_chunk(rows, scores, with_rest(rows, "perplexity double")).select("rest.*", "perplexity")
+    sent = docs.sparkSession.sparkContext.broadcast(_by_lang(scores.toArrow()))
+    score = F.arrow_udf(_scored_here(sent), "double")  # the texts alone go to Python, and none comes back
+    return docs.select(*map(quoted, docs.columns), score(lang, "text").alias("perplexity"))
+
+
+def _lang():
+    """The language, with a name of its own for null."""
+    return F.coalesce(F.col("lang"), F.lit(NO_LANG))
 
 
 def held_out():
@@ -286,8 +293,8 @@ def held_out():
 def quality(docs: DataFrame, trusted: DataFrame, quantile: float = QUANTILE, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """The columns of `docs` with perplexity, threshold and kept."""
     carried = [c for c in docs.columns if c not in ("perplexity", "threshold", "kept")]
-    scored = written(perplexities(docs.select(carried), trusted, broadcast_rows), "perplexities")
-    fields = scored.select("rest.doc_id", F.coalesce("rest.lang", F.lit("")).alias("lang"), "perplexity")
+    scored = written(perplexities(docs.select(*map(quoted, carried)), trusted, broadcast_rows), "perplexities")
+    fields = scored.select("doc_id", _lang().alias("lang"), "perplexity")
     known = fields.filter(held_out() & F.col("perplexity").isNotNull()).join(
         _ids(trusted), "doc_id", "left_semi"
     )
@@ -295,6 +302,6 @@ def quality(docs: DataFrame, trusted: DataFrame, quantile: float = QUANTILE, bro
     thresholds = written(thresholds.withColumnRenamed("lang", "_lang"), "thresholds")
     if thresholds.count() <= 10_000:  # one row for each language
         thresholds = F.broadcast(thresholds)
-    rows = scored.join(thresholds, F.coalesce("rest.lang", F.lit("")) == F.col("_lang"), "left")
+    rows = scored.join(thresholds, _lang() == F.col("_lang"), "left")
     kept = F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))
-    return rows.select("rest.*", "perplexity", "threshold", kept.alias("kept"))
+    return rows.select(*map(quoted, carried), "perplexity", "threshold", kept.alias("kept"))

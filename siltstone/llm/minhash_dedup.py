@@ -1,7 +1,7 @@
 """MinHash near-duplicates with sequential Bayesian verification.
 
-Documents are sets of word shingles. Equal sets are one class with the smallest
-id as its representative. Representatives whose signatures agree in a whole band
+Documents are sets of word shingles. Equal sets are one class, with a number and the
+smallest id that has it. Classes whose signatures agree in a whole band
 meet in a bucket. A pair from a bucket compares its signatures batch by batch and
 is dropped once the posterior probability of reaching the threshold (uniform prior)
 falls under `miss`; what is left is confirmed on the full shingle sets.
@@ -18,7 +18,8 @@ not known to be connected is left out.
 
 Nulls: a null text has no shingles, as an empty one, and links with nothing. A row
 with a null id is kept as a component of its own with null component_id. Rows that
-repeat an id are one node. Further columns are ignored.
+repeat an id are one node: the classes of all its texts are linked. Further columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -45,7 +46,7 @@ BLOCK = 128
 _SEEDS = np.random.Generator(np.random.PCG64(11)).integers(0, 1 << 63, (2, HASHES), dtype=np.uint64)
 _XOR, _FACTOR = _SEEDS[0] * U64(2), _SEEDS[1] * U64(2) + U64(1)
 
-SIGNED = "doc_id long, n_shingles long, print binary, sig binary, bands array<long>"
+SIGNED = "doc_id long, tag long, n_shingles long, print binary, sig binary, bands array<long>"
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
@@ -69,7 +70,7 @@ def band_keys(sigs: np.ndarray) -> np.ndarray:
 def _signer(size: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in word_blocks(batch.column(1), lower=True):
+            for block in word_blocks(batch.column(2), lower=True):
                 hashes = block.hashes()
                 counts = np.zeros(block.rows, dtype=np.int64)
                 prints: list[bytes | None] = [None] * block.rows
@@ -86,13 +87,13 @@ def _signer(size: int):
                 )
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(block.first, block.rows),
+                        *(batch.column(i).slice(block.first, block.rows) for i in (0, 1)),
                         pa.array(counts),
                         pa.array(prints, pa.binary()),
                         pa.array([s.tobytes() for s in sigs], pa.binary()),
                         keys,
                     ],
-                    names=["doc_id", "n_shingles", "print", "sig", "bands"],
+                    names=["doc_id", "tag", "n_shingles", "print", "sig", "bands"],
                 )
 
     return sign
@@ -107,8 +108,9 @@ def posterior(matches: int, seen: int, threshold: float) -> float:
 def least_matches(threshold: float, miss: float) -> list[tuple[int, int]]:
     """(hashes seen, matches below which a pair is dropped) after each batch of ROWS * 5."""
     steps = []
-    for seen in range(ROWS * 5, HASHES + 1, ROWS * 5):
-        need = next(m for m in range(seen + 1) if posterior(m, seen, threshold) >= miss)
+    batches = range(ROWS * 5, HASHES + 1, ROWS * 5)
+    for seen in batches:  # each may drop a pair: `miss` is shared among them
+        need = next(m for m in range(seen + 1) if posterior(m, seen, threshold) >= miss / len(batches))
         steps.append((seen, need))
     return steps
 
@@ -278,34 +280,49 @@ def linked(members: DataFrame, faces: DataFrame, size: int, percent: int, miss:
         turn, before = turn + 1, outsiders
 
 
+def _shared_ids(usable: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b): classes that hold rows of one id, each with the least of them."""
+    mark = F.xxhash64("print")
+    several = usable.groupBy("doc_id").agg(F.min(mark).alias("low"), F.max(mark).alias("high")).filter("low <> high")
+    held = usable.join(own_shuffle(several, "doc_id"), "doc_id").select("doc_id", "print").distinct()
+    held = held.join(classes.select("print", "id"), "print")
+    least = held.groupBy("doc_id").agg(F.min("id").alias("a"))
+    return held.join(own_shuffle(least, "doc_id"), "doc_id").select("a", F.col("id").alias("b")).filter("a <> b")
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, miss: float = MISS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row for each row of `docs`.
 
     Documents are linked if 100 * intersection >= percent * union of their sets of
     distinct `size`-word shingles (A-Z lower-cased).
     """
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
+    docs = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("tag"), "text")
     signed = written(docs.mapInArrow(_signer(size), SIGNED), "signed")
-    classes = signed.filter("print is not null and doc_id is not null").groupBy("print").agg(F.min("doc_id").alias("rep"))
-    classes = written(classes, "classes")
-    firsts = signed.join(
-        classes.select("print", F.col("rep").alias("doc_id")), ["print", "doc_id"], "left_semi"
-    ).dropDuplicates(["doc_id"])
-    firsts = written(firsts.select(F.col("doc_id").alias("id"), "sig", "bands"), "firsts")
+    usable = signed.filter("print is not null and doc_id is not null")
+    classes = usable.groupBy("print").agg(F.min("doc_id").alias("rep"))
+    classes = written(classes.withColumn("id", F.monotonically_increasing_id()), "classes")  # numbers that last
+    firsts = signed.join(classes.withColumnRenamed("rep", "doc_id"), ["print", "doc_id"])
+    firsts = firsts.select("id", "doc_id", "tag", "sig", "bands").dropDuplicates(["id"])
+    firsts = written(firsts, "firsts")
     entries = firsts.select("id", F.posexplode("bands").alias("band", "key"))
     full = entries.groupBy("key").agg(F.min("id").alias("pivot"), F.count("*").alias("n")).filter("n > 1")
     members = written(entries.join(own_shuffle(full, "key"), "key").select("key", "band", "id", "pivot", "n"), "members")
     faces = (
         members.select("id").distinct()
-        .join(firsts.select("id", "sig"), "id")
-        .join(docs.filter("doc_id is not null").withColumnRenamed("doc_id", "id"), "id")
+        .join(firsts.select("id", "doc_id", "tag", "sig"), "id")
+        .join(docs.filter("doc_id is not null"), ["doc_id", "tag"])
+        .dropDuplicates(["id"])  # rows may repeat
     )
     faces = written(faces.select("id", "sig", "text"), "faces")
 
     labels = linked(members, faces, size, percent, miss)
-    by_class = classes.join(labels.withColumnsRenamed({"id": "rep"}), "rep", "left").select(
-        "print", F.coalesce("component", "rep").alias("component_id")
-    )
+    shared = written(_shared_ids(usable, classes), "shared")
+    if not shared.isEmpty():
+        labels = components(labels.select(F.col("id").alias("a"), F.col("component").alias("b")).union(shared))
+    rooted = classes.join(labels, "id", "left").select("print", "rep", F.coalesce("component", "id").alias("root"))
+    rooted = written(rooted, "rooted")
+    least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
+    by_class = rooted.join(own_shuffle(least, "root"), "root").select("print", "component_id")
     rows = signed.select("doc_id", "n_shingles", "print").join(own_shuffle(by_class, "print"), "print", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return rows.select(

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import own_shuffle, written
+from siltstone.llm.common import own_shuffle, whole_row, with_rest, written
 from siltstone.llm.wordhash import U64, mix, window_hashes, word_blocks
 
 # Perfect difference sets, one for each period.
@@ -107,8 +107,8 @@ def _cutter(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Recor
     for batch in batches:
         counts = np.zeros((batch.num_rows, 2), dtype=np.int64)
         kept = []
-        starts = batch.column(2)
-        for i, text in enumerate(batch.column(1)):
+        starts = batch.column(1)
+        for i, text in enumerate(batch.column(0).field("text")):
             words = (text.as_py() or "").encode("utf-8").split()
             at = starts[i].values
             if at is not None and len(at):
@@ -150,12 +150,12 @@ def repeated_windows(docs: DataFrame, length: int) -> DataFrame:
 def without_repeats(docs: DataFrame, length: int = 35) -> DataFrame:
     """The columns of `docs` with n_words, n_removed and kept_text (kept words, one blank between)."""
     carried = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept_text")]
-    keyed = docs.select(F.xxhash64("doc_id", "text").alias("row"), "text", F.struct(*carried).alias("rest"))
+    keyed = docs.select(F.xxhash64("doc_id", "text").alias("row"), "text", whole_row(carried).alias("rest"))
     starts = repeated_windows(keyed, length)
-    kind = keyed.schema["rest"].dataType.simpleString()
+    kind = with_rest(keyed, "n_words long, n_removed long, kept_text string")
     return (
         keyed.join(own_shuffle(starts, "row"), "row", "left")
-        .select("rest", "text", "starts")
-        .mapInArrow(lambda batches: _cutter(batches, length), f"rest {kind}, n_words long, n_removed long, kept_text string")
+        .select("rest", "starts")
+        .mapInArrow(lambda batches: _cutter(batches, length), kind)
         .select("rest.*", "n_words", "n_removed", "kept_text")
     )

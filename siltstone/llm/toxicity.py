@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.llm.common import written
+from siltstone.llm.common import quoted, written
 
 SAMPLE = 20_000
 FEATURES = 8_192
@@ -108,7 +108,9 @@ def fitted(labels: np.ndarray, own: list[list[int]], pairs: list[tuple[list[int]
     pair_row = np.array([k for k, (a, b) in enumerate(pairs) for _ in (*a, *b)], dtype=np.int64)
     pair_col = np.array([i for a, b in pairs for i in (*a, *b)], dtype=np.int64)
     sign = np.array([s for a, b in pairs for s in (*[1.0] * len(a), *[-1.0] * len(b))])
-    n = max(1, len(labels))
+    if not len(labels):
+        return np.zeros(size), float(np.log(0.5))
+    n = len(labels)
     weights = np.zeros(size + 1)
     weights[size] = np.log((labels.sum() + 0.5) / (len(labels) - labels.sum() + 0.5))
     first, second = np.zeros_like(weights), np.zeros_like(weights)
@@ -131,7 +133,8 @@ def learned(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features:
     """Weight of each feature, and the intercept, from `labels` (doc_id, label)."""
     known = labels.filter("doc_id is not null and label in (0, 1)").groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
     taken = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)  # bounded by `sample`, so it can be sent to all
-    texts = written(docs.join(F.broadcast(taken), "doc_id").select("label", "text"), "labelled")
+    texts = docs.join(F.broadcast(taken), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    texts = written(texts.select("label", "text"), "labelled")
     total = texts.agg(F.count_if(F.col("label") == 1), F.count_if(F.col("label") == 0)).first()
     counts = texts.mapInArrow(_tally, "feature string, toxic long, clean long").groupBy("feature").agg(
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")
@@ -162,16 +165,16 @@ class _Parts(dict):
 
 
 def _scorer(model):
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         weights, intercept = model.value
         parts = _Parts(weights)
         for batch in batches:
             found = []
-            for text in batch.column(1).to_pylist():
+            for text in batch.to_pylist():
                 held = {f for p in map(parts.__getitem__, words_of(text)) if p for f in p}
                 found.append(intercept + sum(weights[f] for f in sorted(held)))
             scores = 1 / (1 + np.exp(-np.clip(np.array(found), -500, 500)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["rest", "score"])
+            yield pa.array(scores, pa.float64())
 
     return score
 
@@ -180,6 +183,6 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features:
     """The columns of `docs` with score (0 to 1) and predicted (1 from 0.5 on)."""
     model = docs.sparkSession.sparkContext.broadcast(learned(docs.select("doc_id", "text"), labels, sample, features))
     carried = [c for c in docs.columns if c not in ("score", "predicted")]
-    rows = docs.select(F.struct(*carried).alias("rest"), "text")
-    scored = rows.mapInArrow(_scorer(model), f"rest {rows.schema['rest'].dataType.simpleString()}, score double")
-    return scored.select("rest.*", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    score = F.arrow_udf(_scorer(model), "double")  # the texts alone go to Python, and none comes back
+    scored = docs.select(*map(quoted, carried), score("text").alias("score"))
+    return scored.select("*", (F.col("score") >= 0.5).cast("int").alias("predicted"))

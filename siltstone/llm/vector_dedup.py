@@ -47,6 +47,7 @@ def unit_rows(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
     if isinstance(vectors, pa.ChunkedArray):
         vectors = vectors.combine_chunks()
     matrix = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(vectors), -1)
+    matrix = matrix / np.abs(matrix).max(axis=1, keepdims=True)  # so that no square over- or underflows
     return matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
 
 
@@ -208,12 +209,13 @@ def _first_common(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 def _indexed(reps: DataFrame, count: int, overlap: int, threshold: float) -> DataFrame:
     """(id, links, root) of the representatives that link with others in a shard."""
     spark = reps.sparkSession
+    kind = reps.schema["v"].dataType.simpleString()
     sample = unit_rows(
         reps.orderBy(F.xxhash64("id")).limit(SAMPLE).select("v").toArrow().column(0)  # bounded by SAMPLE
     )
     clusters = max(1, min(-(-count // BLOCK), len(sample) // 4))
     sent = spark.sparkContext.broadcast(fitted_centroids(sample, clusters))
-    routed = reps.select("id", "copies", "v").mapInArrow(_router(sent, overlap), "id long, copies long, v array<float>, shards array<int>")
+    routed = reps.select("id", "copies", "v").mapInArrow(_router(sent, overlap), f"id long, copies long, v {kind}, shards array<int>")
     members = written(routed.withColumn("shard", F.explode("shards")), "members")
     blocks = members.groupBy("shard").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     placed = members.join(own_shuffle(blocks, "shard"), "shard").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
@@ -249,9 +251,10 @@ def near_vectors(
     vectors: DataFrame, threshold: float = 0.95, overlap: int = OVERLAP, least_recall: float = LEAST_RECALL
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept), one row for each row of `vectors`."""
-    rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<float>").alias("v"))
-    squares = F.aggregate("v", F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double"))
-    usable = F.col("vec_id").isNotNull() & F.coalesce((squares > 0) & (squares < float("inf")) & ~F.isnan(squares), F.lit(False))
+    kind = "array<float>" if vectors.schema["embedding"].dataType.simpleString() == "array<float>" else "array<double>"
+    rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast(kind).alias("v"))
+    finite = F.forall("v", lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)))
+    usable = F.col("vec_id").isNotNull() & F.coalesce(finite & F.exists("v", lambda x: x != 0), F.lit(False))
     reps = rows.filter(usable).groupBy("v").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"))
     reps = written(reps.select("id", "copies", "v"), "reps")
 
@@ -261,8 +264,8 @@ def near_vectors(
         shards = overlap
         while True:
             found = _indexed(own, count, shards, threshold)
-            if shards * BLOCK >= count or recall(own, found, threshold) >= least_recall:
-                break
+            if recall(own, found, threshold) >= least_recall or shards * BLOCK >= count:
+                break  # good enough, or every vector is in every shard
             shards += 1
         parts.append(found)
     if not parts:
