@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.llm.bpe_codec import encoded
-from siltstone.llm.common import own_shuffle, table, written
+from siltstone.llm.common import own_shuffle, quoted, table, written
 from siltstone.llm.kneser_ney import quality
 from siltstone.llm.minhash_dedup import near_duplicates
 from siltstone.llm.seeded_decontam import contaminated
@@ -22,17 +22,21 @@ from siltstone.llm.substring_dedup import without_repeats
 ORACLE_SQL = None
 
 
+def _own(docs: DataFrame) -> list[str]:
+    return [quoted(c) for c in docs.columns]
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents within their language's perplexity threshold; trusted are those labelled good."""
     trusted = table(spark, sf_dir, "labels").filter("quality = 1")
-    return quality(docs, trusted).filter("kept").select(docs.columns)
+    return quality(docs, trusted).filter("kept").select(_own(docs))
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (five-word shingles, 0.8 or more)."""
     found = near_duplicates(docs, size=5, percent=80)
     gone = found.filter("not kept").select("doc_id").distinct()
-    return docs.join(own_shuffle(gone, "doc_id"), "doc_id", "left_anti").select(docs.columns)
+    return docs.join(own_shuffle(gone, "doc_id"), "doc_id", "left_anti").select(_own(docs))
 
 
 def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,13 +44,13 @@ def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     left = without_repeats(docs, length=35)
     text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
     changed = left.withColumn("text", text).withColumn("n_chars", F.length("text").cast("long"))
-    return changed.select(docs.columns)
+    return changed.select(_own(docs))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
     found = contaminated(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(own_shuffle(found.select("doc_id").distinct(), "doc_id"), "doc_id", "left_anti").select(docs.columns)
+    return docs.join(own_shuffle(found.select("doc_id").distinct(), "doc_id"), "doc_id", "left_anti").select(_own(docs))
 
 
 def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
