@@ -19,17 +19,18 @@ def stream_deltas(
 ) -> StreamingQuery:
     """Start a run over everything that has landed and then stop.
 
-    `source` is a file stream over `<seq>=<n>/` folders, one per delta. Read it
-    without a file limit per trigger: a delta cut in two would raise the
-    watermark past its own second half.
+    `source` is a file stream over `<seq>=<n>/` folders, one per delta. A delta may come
+    over any number of triggers: the commit record keeps the mark before it, which all its
+    rows meet. Rows of a delta that come after a later one was applied end the stream, as
+    the later one was held against too low a mark.
     """
     writer = f"{checkpoint}#{table}"
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         last = lake.last_commit("bronze", table)
-        if last.writer == writer and last.batch_id is not None and last.batch_id >= batch_id:
+        if last and last.writer == writer and last.batch_id is not None and last.batch_id >= batch_id:
             return
-        incremental_load(lake, table, batch, key, stamp, seq, writer, batch_id)
+        incremental_load(lake, table, batch, key, stamp, seq, writer, batch_id, in_parts=True)
 
     return (
         source.writeStream.foreachBatch(apply)

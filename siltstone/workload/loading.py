@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from siltstone.operators import aggregates, dedup, merge
+from siltstone.plans import bronze
 from siltstone.plans.bronze import full_load
 from siltstone.session import shared_folder
 from siltstone.sources.lake import Lake
@@ -102,8 +103,11 @@ def keyed_upsert(spark, sf_dir):
     )
 )
 def incremental_load(spark, sf_dir):
-    base, events, mark = _split(spark, sf_dir)
-    return merge.fold(base, [events.drop("props")], "slot", "ts", mark)
+    events = _events(spark, sf_dir)
+    lake = Lake(spark, shared_folder(spark, "incremental_load"))
+    full_load(lake, "events", _before(events, BASE_END), "ts", "slot")
+    bronze.incremental_load(lake, "events", [events.drop("props")], "slot", "ts")
+    return lake.read("bronze", "events")
 
 
 def _fold_sql() -> str:
@@ -128,9 +132,10 @@ def _slices(events):
 @query(_fold_sql())
 def incremental_fold(spark, sf_dir):
     events = _events(spark, sf_dir)
-    base = _before(events, FOLD_START)
-    mark = merge.high_watermark(base, "ts").scalar()
-    return merge.fold(base, _slices(events), "slot", "ts", mark)
+    lake = Lake(spark, shared_folder(spark, "incremental_fold"))
+    full_load(lake, "events", _before(events, FOLD_START), "ts", "slot")
+    bronze.incremental_load(lake, "events", _slices(events), "slot", "ts")
+    return lake.read("bronze", "events")
 
 
 @query(_fold_sql())
@@ -138,7 +143,7 @@ def stream_upsert(spark, sf_dir):
     events = _events(spark, sf_dir)
     root = shared_folder(spark, "stream_upsert")
     lake = Lake(spark, f"{root}/lake")
-    full_load(lake, "events", _before(events, FOLD_START), "ts")
+    full_load(lake, "events", _before(events, FOLD_START), "ts", "slot")
     landed = merge.number_deltas(events, _slices(events)).withColumnRenamed(
         merge.DELTA_SEQ, "delta"
     )

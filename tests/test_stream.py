@@ -16,15 +16,16 @@ SCHEMA = "id bigint, note string, ts timestamp_ntz"
 def setup(spark, tmp_path):
     lake = Lake(spark, f"{tmp_path}/lake")
     base = frame(spark, (1, "base", "2024-01-01"), (2, "base", "2024-01-02"))
-    full_load(lake, "t", base, "ts")
+    full_load(lake, "t", base, "ts", "id", buckets=4)
 
     def land(number, delta):
         delta.withColumn("delta", F.lit(number)).repartition(3).write.mode("append").partitionBy(
             "delta"
         ).parquet(f"{tmp_path}/landing")
 
-    def run():
-        source = spark.readStream.schema(f"{SCHEMA}, delta int").parquet(f"{tmp_path}/landing")
+    def run(**options):
+        reader = spark.readStream.schema(f"{SCHEMA}, delta int").options(**options)
+        source = reader.parquet(f"{tmp_path}/landing")
         stream = stream_deltas(source, lake, "t", "id", "ts", "delta", f"{tmp_path}/checkpoint")
         stream.awaitTermination()
         assert stream.exception() is None
@@ -62,3 +63,41 @@ def test_row_without_delta_number_is_an_error(spark):
     mark = F.lit("2024-01-02").cast("timestamp_ntz")
     with pytest.raises(Exception, match="without a delta number"):
         fresh_rows(deltas, "ts", mark, "delta").collect()
+
+
+def test_delta_over_several_triggers_equals_fold(spark, setup):
+    """One file for each trigger: parts of a delta meet the mark before it and do not replace each other."""
+    lake, base, land, run = setup
+    deltas = [
+        frame(spark, (2, "a", "2024-01-09"), (2, "b", "2024-01-03"), (3, "c", "2024-01-05"), (6, "d", "2024-01-04")),
+        frame(spark, (3, "late", "2024-01-08"), (4, "e", "2024-01-12"), (3, "f", "2024-01-10"), (3, "g", "2024-01-11")),
+        frame(spark, (1, "h", "2024-01-13"), (2, "late", "2024-01-12")),
+    ]
+    for number, delta in enumerate(deltas):
+        land(number, delta)
+    run(maxFilesPerTrigger=1)
+    assert lake.last_commit("bronze", "t").version > 3
+    expected = fold(base, deltas, "id", "ts", high_watermark(base, "ts").scalar())
+    assert rows(lake.read("bronze", "t")) == rows(expected)
+    last = lake.last_commit("bronze", "t")
+    assert (last.watermark, last.delta, last.floor) == ("2024-01-13 00:00:00", 2, "2024-01-12 00:00:00")
+    assert last.row_count == expected.count()
+
+
+def test_part_of_an_earlier_delta_is_an_error(spark, setup):
+    lake, _, land, run = setup
+    land(1, frame(spark, (2, "one", "2024-01-03")))
+    run()
+    land(0, frame(spark, (3, "zero", "2024-01-03")))
+    with pytest.raises(Exception, match="came after rows of delta 1"):
+        run()
+    assert lake.last_commit("bronze", "t").version == 1
+
+
+def test_stream_onto_a_table_never_loaded(spark, setup, tmp_path):
+    _, _, land, _ = setup
+    land(0, frame(spark, (1, "x", "2024-01-03")))
+    source = spark.readStream.schema(f"{SCHEMA}, delta int").parquet(f"{tmp_path}/landing")
+    stream = stream_deltas(source, Lake(spark, f"{tmp_path}/none"), "t", "id", "ts", "delta", f"{tmp_path}/other")
+    with pytest.raises(Exception, match="load it in full first"):
+        stream.awaitTermination()
