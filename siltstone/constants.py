@@ -62,21 +62,21 @@ WHITESPACE = (
     "    　"
 )
 
-# Raw product record. capacity_gb is a list, a number or absent.
+# Raw product record. capacity_gb is a list, a number or absent; numbers come as numbers or text.
 PRODUCT_SCHEMA = """
     product_id STRING, name STRING, category STRING,
     specs STRUCT<
-        dimensions: STRUCT<height: DOUBLE, width: DOUBLE, depth: DOUBLE, diameter: DOUBLE>,
+        dimensions: STRUCT<height: STRING, width: STRING, depth: STRING, diameter: STRING>,
         storage: STRUCT<capacity_gb: VARIANT, type: STRING>,
-        battery: STRUCT<capacity_mAh: BIGINT, fast_charging: STRING, playback_hours: DOUBLE>,
-        screen: STRUCT<type: STRING, size_inches: DOUBLE>,
+        battery: STRUCT<capacity_mAh: STRING, fast_charging: STRING, playback_hours: STRING>,
+        screen: STRUCT<type: STRING, size_inches: STRING>,
         processor: STRUCT<brand: STRING, model: STRING>,
-        ram_gb: BIGINT,
+        ram_gb: STRING,
         sensors: ARRAY<STRING>, ports: ARRAY<STRING>, features: ARRAY<STRING>,
         connectivity: ARRAY<STRING>, compatibility: ARRAY<STRING>>,
     pricing STRUCT<
-        base_price: DOUBLE, currency: STRING,
-        discounts: ARRAY<STRUCT<type: STRING, amount: DOUBLE>>>
+        base_price: STRING, currency: STRING,
+        discounts: ARRAY<STRUCT<type: STRING, amount: STRING>>>
 """
 
 # ---------------------------------------------------------------------------

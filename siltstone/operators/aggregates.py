@@ -8,17 +8,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def amounts_by_key(
-    df: DataFrame, key: str, amount: str, decimals: int | None = None
-) -> DataFrame:
+#: Amounts from here on are summed as doubles: 10**8 of those below fit the exact sum.
+INEXACT_FROM = 1e24
+
+
+def amounts_by_key(df: DataFrame, key: str, amount: str, decimals: int = 6) -> DataFrame:
     """Total, mean and number of amounts per key.
 
-    A floating sum depends on the order of addition, which Spark does not fix.
-    With `decimals` the amounts are summed exactly at that many places.
+    Amounts are summed exactly, to `decimals` places, so the total does not depend on the
+    order of addition, which Spark does not fix. Amounts of INEXACT_FROM or more, and
+    those that are no finite number, are summed as they are.
     """
     value = F.col(amount)
-    exact = value if decimals is None else value.cast(f"decimal(18,{decimals})")
-    total = F.sum(exact).cast("double")
+    large = F.coalesce(~(F.abs(value) < INEXACT_FROM), F.lit(False)) | F.isnan(value.cast("double"))
+    exact = F.sum(F.when(~large, value).try_cast(f"decimal(38,{decimals})")).cast("double")
+    rest = F.sum(F.when(large, value)).cast("double")
+    total = F.when(rest.isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + rest)
     return df.groupBy(key).agg(
         total.alias("total_sales_amount"),
         (total / F.nullif(F.count(value), F.lit(0))).alias("avg_sales_amount"),

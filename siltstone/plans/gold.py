@@ -33,7 +33,7 @@ def build_report(
     orders: DataFrame,
     products: DataFrame,
     sales: DataFrame | None = None,
-    decimals: int | None = None,
+    decimals: int = 6,
     order_above: float = HIGH_VALUE_ORDER,
     customer_above: float = HIGH_VALUE_CUSTOMER,
 ) -> DataFrame:

@@ -123,6 +123,7 @@ def check_layers(lake: Lake, sheets: Sequence[str], rules: Mapping[str, Sequence
         Check("report_table", lake.read("gold", "report_data")),
     ]
     lake.publish("quality", "checks", profile_all(checks))
+    lake.publish("quality", "product_misfits", silver.product_misfits(lake.read("bronze", "products_raw")))
 
 
 def run(

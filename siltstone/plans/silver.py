@@ -47,6 +47,16 @@ def products(bronze: DataFrame) -> DataFrame:
     )
 
 
+def product_misfits(bronze: DataFrame) -> DataFrame:
+    """(column, misfits): records of `raw_json` whose value there is no number, one row per column."""
+    parsed = bronze.select(F.from_json("raw_json", PRODUCT_SCHEMA).alias("_p"))
+    flags = nested.misfits(F.col("_p"))
+    counts = parsed.select(*[flag.alias(name) for name, flag in flags.items()]).agg(
+        *[F.count_if(F.col(name)).alias(name) for name in flags]
+    )
+    return counts.unpivot([], list(flags), "column", "misfits")
+
+
 def orders(bronze: DataFrame) -> DataFrame:
     """First row per order; typed ids and amounts, parsed date, cancel flag."""
     first = keep_first(bronze, ["order_id"])

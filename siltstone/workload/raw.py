@@ -212,6 +212,8 @@ SALES = RawTable(
         "sales_amount": f"""case
             when l_orderkey % 23 = 1 then 'unknown'
             when l_orderkey % 29 = 2 then null
+            when l_orderkey % 31 = 3 then '1e17'
+            when l_orderkey % 37 = 5 then '0.004'
             else {_money('l_extendedprice')} end""",
         "channel": """case l_linenumber % 4
             when 0 then ' online '
@@ -224,25 +226,25 @@ SALES = RawTable(
 )
 
 _SPECS = f"""'"specs":{{'
-    || '"dimensions":{{"height":' || {_text('p_size')} || '.5,"width":' || {_text('p_size * 2')} || '}},'
+    || '"dimensions":{{"height":' || {_text('p_size')} || '.5,"width":' || (case when p_partkey % 7 = 3 then '"12 cm"' else {_text('p_size * 2')} end) || '}},'
     || '"storage":{{"capacity_gb":' || (case p_size % 5
         when 0 then '[64,128,' || {_text('p_size * 8')} || ']'
         when 1 then {_text('p_size * 16')}
         when 2 then 'null'
-        when 3 then {_text('p_size')} || '.5'
+        when 3 then (case when p_partkey % 2 = 0 then '[128.5,' || {_text('p_size')} || '.75]' else {_text('p_size')} || '.5' end)
         else '[]' end) || ',"type":"SSD"}},'
-    || '"battery":{{"capacity_mAh":' || {_text('p_size * 100')} || ',"fast_charging":"65W"}},'
+    || '"battery":{{"capacity_mAh":' || {_text('p_size * 100')} || (case when p_partkey % 5 = 2 then '.5' else '' end) || ',"fast_charging":"65W"}},'
     || '"screen":{{"type":"OLED","size_inches":' || {_text('p_size')} || '.25}},'
     || '"processor":{{"brand":"' || p_brand || '","model":"M' || {_text('p_size % 4')} || '"}},'
-    || '"ram_gb":' || {_text('p_size % 4 * 8')} || ','
+    || '"ram_gb":' || (case when p_partkey % 11 = 1 then '"many"' else {_text('p_size % 4 * 8')} || (case when p_partkey % 4 = 0 then '.0' else '' end) end) || ','
     || (case when p_partkey % 3 = 1 then '' else '"sensors":["gyro","' || p_type || '"],' end)
     || '"ports":[],"features":["f' || {_text('p_size % 7')} || '"],"connectivity":["wifi","nfc"]}}'"""
 
-_PRICING = f"""'"pricing":{{"base_price":' || {_money('p_retailprice')}
+_PRICING = f"""'"pricing":{{"base_price":' || (case when p_partkey % 6 = 1 then '"' || {_money('p_retailprice')} || '"' else {_money('p_retailprice')} end)
     || ',"currency":"EUR","discounts":' || (case p_size % 3
         when 0 then '[]'
         when 1 then '[{{"type":"sale","amount":5.5}},{{"type":"clear"}}]'
-        else '[{{"amount":10}}]' end) || '}}'"""
+        else (case when p_partkey % 2 = 0 then '[{{"amount":"5"}},{{"amount":"half"}}]' else '[{{"amount":10}}]' end) end) || '}}'"""
 
 _RECORD = f"""'{{"product_id":"P' || {_text('p_partkey')}
     || '","name":"' || p_name || '","category":"' || p_type || '"'

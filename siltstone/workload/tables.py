@@ -34,7 +34,8 @@ CUSTOMER_ABOVE = 2_500_000
 
 
 def _field(path: str, kind: str = "varchar") -> str:
-    return f"cast(raw_json ->> '$.{path}' as {kind})"
+    cast = "cast" if kind == "varchar" else "try_cast"
+    return f"{cast}(raw_json ->> '$.{path}' as {kind})"
 
 
 def _joined(path: str) -> str:
@@ -45,10 +46,10 @@ def _joined(path: str) -> str:
 _CAPACITY = "json_extract(raw_json, '$.specs.storage.capacity_gb')"
 _DISCOUNTS = (
     "from_json(json_extract(raw_json, '$.pricing.discounts'),"
-    " '[{\"type\":\"VARCHAR\",\"amount\":\"DOUBLE\"}]')"
+    " '[{\"type\":\"VARCHAR\",\"amount\":\"VARCHAR\"}]')"
 )
 _TOTAL = (
-    f"coalesce(list_sum(list_transform({_DISCOUNTS}, lambda d: coalesce(d.amount, 0.0))), 0.0)"
+    f"coalesce(list_sum(list_transform({_DISCOUNTS}, lambda d: coalesce(try_cast(d.amount as double), 0.0))), 0.0)"
 )
 
 _HEAD_SQL = f"""{_field('product_id')} as product_id, {_field('name')} as product_name,
@@ -61,10 +62,10 @@ _STORAGE_SQL = f"""
         when 'DOUBLE' then cast(cast(trunc(cast({_CAPACITY} as double)) as bigint) as varchar)
         end as storage_options_gb,
     case json_type({_CAPACITY})
-        when 'ARRAY' then cast(list_max(from_json({_CAPACITY}, '["DOUBLE"]')) as bigint)
-        when 'UBIGINT' then cast({_CAPACITY} as bigint)
-        when 'BIGINT' then cast({_CAPACITY} as bigint)
-        when 'DOUBLE' then cast(trunc(cast({_CAPACITY} as double)) as bigint)
+        when 'ARRAY' then list_max(from_json({_CAPACITY}, '["DOUBLE"]'))
+        when 'UBIGINT' then cast({_CAPACITY} as double)
+        when 'BIGINT' then cast({_CAPACITY} as double)
+        when 'DOUBLE' then trunc(cast({_CAPACITY} as double))
         end as max_storage_gb,
     {_field('specs.storage.type')} as storage_type"""
 _SPECS_SQL = f"""
@@ -73,14 +74,14 @@ _SPECS_SQL = f"""
     {_field('specs.dimensions.depth', 'double')} as depth,
     {_field('specs.dimensions.diameter', 'double')} as diameter,
     {_STORAGE_SQL},
-    {_field('specs.battery.capacity_mAh', 'bigint')} as battery_capacity_mah,
+    {_field('specs.battery.capacity_mAh', 'double')} as battery_capacity_mah,
     {_field('specs.battery.fast_charging')} as fast_charging,
     {_field('specs.battery.playback_hours', 'double')} as playback_hours,
     {_field('specs.screen.type')} as screen_type,
     {_field('specs.screen.size_inches', 'double')} as screen_size_inches,
     {_field('specs.processor.brand')} as processor_brand,
     {_field('specs.processor.model')} as processor_model,
-    {_field('specs.ram_gb', 'bigint')} as ram_gb,
+    {_field('specs.ram_gb', 'double')} as ram_gb,
     {_joined('sensors')}, {_joined('ports')}, {_joined('features')},
     {_joined('connectivity')}, {_joined('compatibility')}"""
 _PRICE_SQL = f"""
@@ -168,6 +169,35 @@ def json_discounts(spark, sf_dir):
     return _flat(spark, sf_dir, lambda p: nested.price_columns(p["pricing"]))
 
 
+def _misfits_sql() -> str:
+    numbers = {
+        **{name: f"specs.dimensions.{name}" for name in ("height", "width", "depth", "diameter")},
+        "battery_capacity_mah": "specs.battery.capacity_mAh",
+        "playback_hours": "specs.battery.playback_hours",
+        "screen_size_inches": "specs.screen.size_inches",
+        "ram_gb": "specs.ram_gb",
+        "base_price": "pricing.base_price",
+    }
+    rows = [
+        f"select '{name}' as \"column\", count_if({_field(path)} is not null and {_field(path, 'double')} is null) as misfits from p"
+        for name, path in numbers.items()
+    ]
+    unfit = f"list_transform({_DISCOUNTS}, lambda d: d.amount is not null and try_cast(d.amount as double) is null)"
+    rows.append(f"select 'discount_amount', count_if(coalesce(list_bool_or({unfit}), false)) from p")
+    rows.append(
+        f"select 'storage', count_if(json_type({_CAPACITY}) not in ('ARRAY', 'UBIGINT', 'BIGINT', 'DOUBLE', 'NULL')) from p"
+    )
+    union = " union all ".join(rows)
+    return D.with_tables(
+        f'select "column", cast(misfits as bigint) as misfits from ({union})', p=raw.PRODUCTS.sql()
+    )
+
+
+@query(_misfits_sql())
+def product_misfits(spark, sf_dir):
+    return silver.product_misfits(_products(spark, sf_dir))
+
+
 @query(_PRODUCTS_SQL)
 def products_silver(spark, sf_dir):
     return silver.products(_products(spark, sf_dir))
@@ -280,7 +310,8 @@ def suffix_join(spark, sf_dir):
 
 
 def _figures_sql(key: str, amount: str, source: str) -> str:
-    total = f"cast(sum(cast({amount} as decimal(18, 2))) as double)"
+    # through text both ways: a double's own digits in, and one rounding out
+    total = f"cast(cast(sum(cast(cast({amount} as varchar) as decimal(38, 6))) as varchar) as double)"
     return f"""select {key}, {total} as total_sales_amount,
         {total} / nullif(count({amount}), 0) as avg_sales_amount,
         count({amount}) as sales_transaction_count from {source} group by {key}"""
@@ -300,7 +331,7 @@ def _order_figures(spark, sf_dir):
     sales = table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("customer_id"), amount.alias("sales_amount")
     )
-    return amounts_by_key(sales, "customer_id", "sales_amount", decimals=2)
+    return amounts_by_key(sales, "customer_id", "sales_amount")
 
 
 @query(_ORDER_FIGURES_SQL)
@@ -359,7 +390,6 @@ def gold_report(spark, sf_dir):
         orders_silver(spark, sf_dir),
         products_silver(spark, sf_dir),
         sales_silver(spark, sf_dir),
-        decimals=2,
         order_above=ORDER_ABOVE,
         customer_above=CUSTOMER_ABOVE,
     )
