@@ -7,9 +7,13 @@ right. That also saves the extra pass of type inference.
 
 from __future__ import annotations
 
+import csv
 import logging
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,28 +43,51 @@ def _scan(path: str, read: Callable[[], DataFrame]) -> DataFrame:
         raise
 
 
-def _csv(spark: SparkSession, path: str, multiline: bool) -> DataFrame:
+def _csv(spark: SparkSession, path: str | list[str], multiline: bool) -> DataFrame:
     return _scan(
-        path,
+        str(path),
         lambda: spark.read.options(
             header=True, inferSchema=False, enforceSchema=False, escape='"', multiLine=multiline
         ).csv(path),
     )
 
 
+def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
+    first = spark.read.text(path).head(1)
+    return tuple(next(csv.reader([first[0][0]]), ())) if first else ()
+
+
+def _by_header(spark: SparkSession, paths: Sequence[str]) -> list[list[str]]:
+    """Files with the same header together; one small job for each file, some side by side."""
+    with ThreadPoolExecutor(8) as pool:
+        headers = list(pool.map(inheritable_thread_target(lambda path: _header(spark, path)), paths))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path, header in zip(paths, headers, strict=True):
+        if header:
+            groups.setdefault(header, []).append(path)
+    return list(groups.values()) or [list(paths)]
+
+
 def read_csv(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     types: Mapping[str, Callable[[Column], Column]] = CUSTOMER_TYPES,
     ordinal: int = 0,
     multiline: bool = False,
 ) -> DataFrame:
-    """CSV file, folder or glob with a header; rows numbered in reading order.
+    """CSV files (a file, folder, glob or list) with headers; rows numbered in reading order.
 
+    Files with the same header are read together; others are put beside them by column
+    name, and columns that a file lacks are null. Empty files are passed over.
     Set `multiline` only for files with line breaks inside quotes: such a file
     cannot be split between tasks.
     """
-    scan = with_ingest_seq(_csv(spark, path, multiline), ordinal)
+    shown = path if isinstance(path, str) else ", ".join(path)
+    paths = [path] if isinstance(path, str) else list(path)
+    files = sorted(_scan(shown, lambda: spark.read.text(paths)).inputFiles())
+    groups = _by_header(spark, files) if len(files) > 1 else [paths]
+    scans = [with_ingest_seq(_csv(spark, group, multiline), ordinal) for group in groups]
+    scan = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), scans)
     return apply_where_present(scan, dict(types))
 
 

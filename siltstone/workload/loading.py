@@ -10,8 +10,9 @@ from siltstone.operators import aggregates, dedup, merge
 from siltstone.plans import bronze
 from siltstone.plans.bronze import full_load
 from siltstone.session import shared_folder
+from siltstone.sources.files import read_csv
 from siltstone.sources.lake import Lake
-from siltstone.streaming.deltas import stream_deltas
+from siltstone.streaming.deltas import stream_csv_deltas
 from siltstone.workload import dialect as D
 from siltstone.workload.registry import query, table
 
@@ -147,10 +148,10 @@ def stream_upsert(spark, sf_dir):
     landed = merge.number_deltas(events, _slices(events)).withColumnRenamed(
         merge.DELTA_SEQ, "delta"
     )
-    landed.write.partitionBy("delta").parquet(f"{root}/landing")
-    source = spark.readStream.schema(landed.schema).parquet(f"{root}/landing")
-    stream = stream_deltas(
-        source, lake, "events", "slot", "ts", "delta", f"{root}/checkpoint"
+    landed = landed.withColumn("ts", F.col("ts").cast("string"))
+    landed.write.partitionBy("delta").options(header=True, escape='"').csv(f"{root}/landing")
+    stream = stream_csv_deltas(
+        spark, f"{root}/landing", lake, "events", "slot", "ts", "delta", f"{root}/checkpoint", types={}
     )
     stream.awaitTermination()
     return lake.read("bronze", "events")
@@ -161,10 +162,15 @@ def stream_upsert(spark, sf_dir):
     union all select * from events where ts >= timestamp '{FOLD_START}'"""
 )
 def union_all(spark, sf_dir):
-    """Two overlapping files, the second with its columns in another order."""
+    """Two overlapping folders of files under one glob, the second with its columns in another order."""
     events = table(spark, sf_dir, "events")
     later = events.filter(F.col("ts") >= F.lit(FOLD_START).cast("timestamp_ntz"))
-    return _before(events, BASE_END).unionByName(later.select(*reversed(events.columns)))
+    root = shared_folder(spark, "union_all")
+    parts = {"first": _before(events, BASE_END), "second": later.select(*reversed(events.columns))}
+    for name, part in parts.items():
+        text = part.withColumn("ts", F.col("ts").cast("string"))
+        text.write.options(header=True, escape='"').csv(f"{root}/{name}")
+    return merge.conform(read_csv(spark, f"{root}/*/*.csv", types={}), events)
 
 
 @query(

@@ -244,3 +244,13 @@ def test_raw_deltas_are_scanned_once(spark, tmp_path):
     incremental_load(lake, "c", deltas, "customer_id", "last_updated")
     assert read.value == 2
     assert lake.read("bronze", "c").count() == 3
+
+
+def test_glob_with_unlike_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("customer_id,name\n1,x\n")
+    (tmp_path / "b.csv").write_text("name,customer_id,age\ny,2,30\n")
+    (tmp_path / "c.csv").write_text("customer_id,name\n3,z\n")
+    (tmp_path / "d.csv").write_text("")
+    found = read_csv(spark, f"{tmp_path}/*.csv")
+    assert {(r.customer_id, r.name, r.age) for r in found.collect()} == {(1, "x", None), (2, "y", 30), (3, "z", None)}
+    assert found.select("ingest_seq").distinct().count() == 3

@@ -7,7 +7,7 @@ from helpers import at, rows
 from siltstone.operators.merge import fold, fresh_rows, high_watermark
 from siltstone.plans.bronze import full_load
 from siltstone.sources.lake import Lake
-from siltstone.streaming.deltas import stream_deltas
+from siltstone.streaming.deltas import stream_csv_deltas, stream_deltas
 
 SCHEMA = "id bigint, note string, ts timestamp_ntz"
 
@@ -101,3 +101,28 @@ def test_stream_onto_a_table_never_loaded(spark, setup, tmp_path):
     stream = stream_deltas(source, Lake(spark, f"{tmp_path}/none"), "t", "id", "ts", "delta", f"{tmp_path}/other")
     with pytest.raises(Exception, match="load it in full first"):
         stream.awaitTermination()
+
+
+def test_csv_stream_by_header(spark, tmp_path):
+    """Files with unlike headers, one for each trigger."""
+    lake = Lake(spark, f"{tmp_path}/lake")
+    base = frame(spark, (1, "base", "2024-01-01"), (2, "base", "2024-01-02"))
+    full_load(lake, "t", base, "ts", "id")
+    landing = tmp_path / "landing"
+    files = {
+        (0, "a"): "id,note,ts\n2,one,2024-01-09\n",
+        (0, "b"): "ts,more,id,note\n2024-01-03,x,3,\"two, with comma\"\n2024-01-01,x,1,stale\n",
+        (1, "a"): "note,id,ts\nthree,3,2024-01-10\nlate,2,2024-01-08\n",
+    }
+    for (delta, name), text in files.items():
+        folder = landing / f"delta={delta}"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"{name}.csv").write_text(text)
+        stream = stream_csv_deltas(
+            spark, str(landing), lake, "t", "id", "ts", "delta", f"{tmp_path}/checkpoint", types={}, maxFilesPerTrigger=1
+        )
+        stream.awaitTermination()
+    assert lake.last_commit("bronze", "t").version == 3
+    assert rows(lake.read("bronze", "t")) == rows(
+        frame(spark, (1, "base", "2024-01-01"), (2, "one", "2024-01-09"), (3, "three", "2024-01-10"))
+    )
