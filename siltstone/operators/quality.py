@@ -84,6 +84,15 @@ def check_duplicates(df: DataFrame, table: str, key: Sequence[str]) -> DataFrame
     return _as_rows(extra, [_metric(table, "duplicate_rows", ",".join(key), F.col("_extra"))])
 
 
+def counts_at_write(df: DataFrame) -> dict[tuple[str, str | None], Column]:
+    """The counts of `profile` that can be taken while the table is written."""
+    return {**_row_count(), **_nulls(df), **_empty_rows(df)}
+
+
+def missing_columns(df: DataFrame, required: Sequence[str]) -> dict[tuple[str, str | None], int]:
+    return {("missing_column", c): int(c not in df.columns) for c in required}
+
+
 def profile(check: Check) -> DataFrame:
     """All checks on one table; the duplicate check only if a key is given."""
     df, table = check.df, check.table

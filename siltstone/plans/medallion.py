@@ -5,15 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import partial, reduce
+from types import MappingProxyType
 from typing import Any, NamedTuple
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from siltstone.constants import REQUIRED_COLUMNS
 from siltstone.operators.columns import without_ingest_seq
 from siltstone.operators.joins import require_unique
-from siltstone.operators.quality import Check, profile_all, require_passed
+from siltstone.operators.dedup import rows_beyond_first
+from siltstone.operators.quality import Check, counts_at_write, missing_columns, profile
 from siltstone.plans import gold, silver
 from siltstone.plans.bronze import load_with_deltas
 from siltstone.sources.files import read_csv, read_products, read_sheets
@@ -31,6 +34,7 @@ BRONZE_KEYS = {
     "sales_history": [],
 }
 SILVER_KEYS = {**BRONZE_KEYS, "sales_history": ["customer_id"]}
+KEYS = {"bronze": BRONZE_KEYS, "silver": SILVER_KEYS}
 RULE_NAMES = {"customers": "customer"}
 
 
@@ -47,22 +51,55 @@ def _together(jobs: Sequence[Callable[[], object]]) -> None:
             done.result()
 
 
-def _layer_checks(
-    lake: Lake, layer: str, keys: Mapping[str, Sequence[str]], rules: Mapping[str, Sequence[str]]
-) -> list[Check]:
-    return [
-        Check(
-            f"{name}_{layer}",
-            without_ingest_seq(lake.read(layer, name)),
-            rules.get(RULE_NAMES.get(name, name), []),
-            key,
-        )
-        for name, key in keys.items()
-    ]
+class Ledger:
+    """Check results of one run, and the checks that end it."""
+
+    def __init__(self, spark: SparkSession, rules: Mapping[str, Sequence[str]], fail_on: Sequence[str]):
+        self.spark, self.rules, self.fail_on = spark, rules, fail_on
+        self.rows: list[tuple[str, str, str | None, int]] = []
+
+    def add(self, table: str, values: Mapping[tuple[str, str | None], int]) -> None:
+        self.rows += [(table, check, column, int(value)) for (check, column), value in values.items()]
+        for (check, column), value in values.items():
+            if check in self.fail_on and value > 0:
+                raise ValueError(f"quality check failed: {table}, {check}, {column}: {value}")
+
+    def read(self, check: Check) -> None:
+        """Profile a stored table by reading it."""
+        self.add(check.table, {(r[1], r[2]): r[3] for r in profile(check).collect()})
+
+    def publish(
+        self, lake: Lake, layer: str, name: str, df: DataFrame, extra: Mapping[tuple[str, str | None], Column] = MappingProxyType({})
+    ) -> None:
+        """Publish a table if its checks pass; they are counted in the write, but for repeated keys."""
+        shown = without_ingest_seq(df)
+        table = "report_table" if layer == "gold" else f"{name}_{layer}"
+        required = self.rules.get(RULE_NAMES.get(name, name), []) if layer == "bronze" else []
+        key = KEYS.get(layer, {}).get(name)
+        counts = counts_at_write(shown) | dict(extra)
+        labels = {f"c{i}": label for i, label in enumerate(counts)}
+
+        def gate(values: dict[str, int], written: DataFrame) -> None:
+            found = missing_columns(shown, required) | {labels[c]: n for c, n in values.items()}
+            if key:
+                found["duplicate_rows", ",".join(key)] = rows_beyond_first(written, key, "n").first()[0]
+            self.add(table, found)
+
+        lake.publish(layer, name, df, counts=dict(zip(labels, counts.values(), strict=True)), gate=gate)
+
+    def frame(self) -> DataFrame:
+        found = {(t, c, col): n for t, c, col, n in self.rows}
+        removed = [
+            (t.replace("_bronze", "_silver"), "removed_rows", None, n - found[t.replace("_bronze", "_silver"), c, None])
+            for (t, c, col), n in found.items()
+            if c == "row_count" and t.endswith("_bronze") and (t.replace("_bronze", "_silver"), c, None) in found
+        ]
+        kinds = "table_name string, check_name string, column_name string, value bigint"
+        return self.spark.createDataFrame([*self.rows, *removed], kinds)
 
 
 def load_bronze(
-    spark: SparkSession, lake: Lake, raw: str, config: Mapping[str, Any]
+    spark: SparkSession, lake: Lake, raw: str, config: Mapping[str, Any], ledger: Ledger
 ) -> list[str]:
     """Raw files to bronze; gives the names of the sheets found."""
     files = config["csv_files"]
@@ -84,24 +121,33 @@ def load_bronze(
                 load_with_deltas, lake, "customers", baseline, deltas, "customer_id", "last_updated"
             ),
             partial(lake.publish, "bronze", "products_raw", records),
-            *(partial(lake.publish, "bronze", name, table) for name, table in sheets.items()),
+            *(partial(ledger.publish, lake, "bronze", name, table) for name, table in sheets.items()),
         ]
     )
+    customers = without_ingest_seq(lake.read("bronze", "customers"))
+    ledger.read(Check("customers_bronze", customers, ledger.rules.get("customer", []), BRONZE_KEYS["customers"]))
     return list(sheets)
 
 
-def build_silver(lake: Lake, sheets: Sequence[str]) -> None:
+def _extra(name: str) -> dict[tuple[str, str | None], Column]:
+    """Counted besides, while the table is written."""
+    return {("future_dates", "is_future_date"): F.count_if(F.col("is_future_date"))} if name == "sales_history" else {}
+
+
+def build_silver(lake: Lake, sheets: Sequence[str], ledger: Ledger) -> None:
     plans = {"customers": ("customers", silver.customers), "products": ("products_raw", silver.products)}
     plans |= {name: (name, plan) for name, plan in SHEET_PLANS.items() if name in sheets}
     _together(
         [
-            partial(lake.publish, "silver", name, plan(lake.read("bronze", source)))
+            partial(ledger.publish, lake, "silver", name, plan(lake.read("bronze", source)), _extra(name))
             for name, (source, plan) in plans.items()
+            if name != "products"
         ]
+        + [partial(lake.publish, "silver", "products", silver.products(lake.read("bronze", "products_raw")))]
     )
 
 
-def build_gold(lake: Lake) -> None:
+def build_gold(lake: Lake, ledger: Ledger) -> None:
     products = lake.read("silver", "products")
     require_unique(products, "product_id")
     has_sales = lake.exists("silver", "sales_history")
@@ -111,19 +157,7 @@ def build_gold(lake: Lake) -> None:
         products,
         lake.read("silver", "sales_history") if has_sales else None,
     )
-    lake.publish("gold", "report_data", report)
-
-
-def check_layers(lake: Lake, sheets: Sequence[str], rules: Mapping[str, Sequence[str]]) -> None:
-    """Profile every written table of this run into quality/checks."""
-    tables = ["customers", *(name for name in SHEET_PLANS if name in sheets)]
-    checks = [
-        *_layer_checks(lake, "bronze", {t: BRONZE_KEYS[t] for t in tables}, rules),
-        *_layer_checks(lake, "silver", {t: SILVER_KEYS[t] for t in tables}, {}),
-        Check("report_table", lake.read("gold", "report_data")),
-    ]
-    lake.publish("quality", "checks", profile_all(checks))
-    lake.publish("quality", "product_misfits", silver.product_misfits(lake.read("bronze", "products_raw")))
+    ledger.publish(lake, "gold", "report_data", report)
 
 
 def run(
@@ -142,14 +176,18 @@ def run(
          "sheets": {"folder": "workbook", "names": ["orders", ...]},
          "quality_rules": {"orders": ["order_id", ...], ...}}   # optional
 
-    Each layer is read back from what was written, so no table is worked out
-    twice. `fail_on` names checks that raise when a table does not pass them.
+    Each layer is read back from what was written, so no table is worked out twice.
+    `fail_on` names checks that end the run when a table does not pass them: before that
+    table is replaced (customers in bronze: after its load), and before any later layer
+    is begun. What was counted until then is in quality/checks either way.
     """
     lake = Lake(spark, out)
-    sheets = load_bronze(spark, lake, raw, config)
-    build_silver(lake, sheets)
-    build_gold(lake)
-    check_layers(lake, sheets, config.get("quality_rules", REQUIRED_COLUMNS))
-    quality = lake.read("quality", "checks")
-    require_passed(quality, fail_on)
-    return Result(lake.read("gold", "report_data"), quality)
+    ledger = Ledger(spark, config.get("quality_rules", REQUIRED_COLUMNS), fail_on)
+    try:
+        sheets = load_bronze(spark, lake, raw, config, ledger)
+        build_silver(lake, sheets, ledger)
+        build_gold(lake, ledger)
+    finally:
+        lake.publish("quality", "checks", ledger.frame())
+    lake.publish("quality", "product_misfits", silver.product_misfits(lake.read("bronze", "products_raw")))
+    return Result(lake.read("gold", "report_data"), lake.read("quality", "checks"))

@@ -16,7 +16,7 @@ copies. One writer per table at a time.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
@@ -162,20 +162,26 @@ class Lake:
         carry_watermark: bool = True,
         delta: int | None = None,
         floor: str | None = None,
+        counts: Mapping[str, Column] | None = None,
+        gate: Callable[[dict[str, int], DataFrame], None] | None = None,
     ) -> Commit:
         """Replace the table's contents; counts and watermark are taken as it is written.
 
         Contents without any timestamp leave the watermark where it was, unless
-        it is not to be carried over.
+        it is not to be carried over. `gate` gets the values of `counts`, taken in the same
+        write, and the new contents; if it raises, the table stays as it was.
         """
         last = self.last_commit(layer, table)
         slot = (last.slot + 1) % _SLOTS if last else 0
         seen = Observation(f"publish_{layer}_{table}")
         top = F.max(stamp).cast("string") if stamp else F.lit(None).cast("string")
         target = f"{self._folder(layer, table)}/_slot{slot}"
-        counted = df.observe(seen, F.count(F.lit(1)).alias("row_count"), top.alias("watermark"))
+        asked = [column.alias(name) for name, column in (counts or {}).items()]
+        counted = df.observe(seen, F.count(F.lit(1)).alias("row_count"), top.alias("watermark"), *asked)
         counted.write.mode("overwrite").parquet(target)
         metrics = seen.get
+        if gate:
+            gate({name: metrics[name] for name in counts or {}}, self.spark.read.schema(df.schema).parquet(target))
         commit = Commit(
             version=last.version + 1 if last else 0,
             slot=slot,

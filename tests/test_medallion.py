@@ -170,3 +170,21 @@ def test_repeated_product_stops_the_run(spark, raw, tmp_path):
     config = {**CONFIG, "json_files": ["products.json", "more.json"]}
     with pytest.raises(ValueError, match="product_id is not unique"):
         run(spark, str(other), str(tmp_path / "out"), config)
+
+
+def test_a_failing_check_leaves_gold_as_it_was(spark, raw, tmp_path):
+    """Checks are counted as a table is written and end the run before it is replaced."""
+    first = run(spark, str(raw), str(tmp_path), CONFIG)
+    lake, before = Lake(spark, str(tmp_path)), rows(first.report)
+    values = {(r.table_name, r.check_name, r.column_name): r.value for r in first.quality.collect()}
+    assert values["sales_history_silver", "future_dates", "is_future_date"] == 1
+    assert values["orders_silver", "removed_rows", None] == 1
+    commits = {t: lake.last_commit(*t) for t in [("gold", "report_data"), ("silver", "orders"), ("bronze", "orders")]}
+    with pytest.raises(ValueError, match="quality check failed.*null_count"):
+        run(spark, str(raw), str(tmp_path), CONFIG, fail_on=["null_count"])
+    assert {t: lake.last_commit(*t) for t in commits}["gold", "report_data"] == commits["gold", "report_data"]
+    assert lake.last_commit("silver", "orders") == commits["silver", "orders"]
+    assert rows(lake.read("gold", "report_data")) == before
+    found = lake.read("quality", "checks")
+    assert not found.filter("check_name = 'null_count' and value > 0").isEmpty()
+    assert found.filter("table_name = 'report_table'").isEmpty()
