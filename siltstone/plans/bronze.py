@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from siltstone.operators.merge import (
@@ -51,7 +51,8 @@ def incremental_load(
     `deltas` is a list, or one frame that carries its delta number in `seq`. Rows past
     the mark are written to `staging` first, in the only scan of the raw files; marks,
     touched buckets and the merge are taken from there. Without such rows the table
-    stays as it is. A table in buckets of `key` has only the touched ones rewritten.
+    stays as it is; rows without a timestamp are turned away once there is a mark, and counted
+    in the commit given back. A table in buckets of `key` has only the touched ones rewritten.
 
     With `in_parts`, numbers go on from load to load, and further rows of the last delta
     meet the mark that its first rows met; rows of an earlier one end the load.
@@ -68,11 +69,14 @@ def incremental_load(
         stacked = number_deltas(base, deltas)
     mark = F.lit(last.watermark).cast("timestamp_ntz")
     part = Part(last.delta, last.floor) if in_parts and last.delta is not None else None
+    seen = Observation(f"deltas_{table}")
+    stacked = stacked.observe(seen, F.count_if(F.col(stamp).isNull()).alias("undated"))
     staged = lake.publish("staging", table, past_mark(stacked, stamp, mark, seq, part))
+    undated = seen.get["undated"]
     if not staged.row_count:
-        return last
+        return last._replace(undated=undated)
     rows = lake.read("staging", table)
-    fields = {"writer": writer, "batch_id": batch_id}
+    fields = {"writer": writer, "batch_id": batch_id, "undated": undated}
     if in_parts:
         newest = delta_floors(rows, stamp, mark, seq, part).orderBy(F.desc(seq)).first()
         floor = newest["_floor"]

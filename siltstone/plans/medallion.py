@@ -115,11 +115,14 @@ def load_bronze(
     sheets = read_sheets(spark, f"{raw}/{config['sheets']['folder']}", config["sheets"]["names"])
     if "orders" not in sheets:
         raise FileNotFoundError(f"no orders sheet with rows under {raw}")
+
+    def load_customers() -> None:
+        commit = load_with_deltas(lake, "customers", baseline, deltas, "customer_id", "last_updated")
+        ledger.add("customers_bronze", {("undated_delta_rows", "last_updated"): commit.undated or 0})
+
     _together(
         [
-            partial(
-                load_with_deltas, lake, "customers", baseline, deltas, "customer_id", "last_updated"
-            ),
+            load_customers,
             partial(lake.publish, "bronze", "products_raw", records),
             *(partial(ledger.publish, lake, "bronze", name, table) for name, table in sheets.items()),
         ]

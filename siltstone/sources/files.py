@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.constants import INGEST_SEQ
-from siltstone.functions.casts import to_long
+from siltstone.functions.casts import to_id, to_long
 from siltstone.functions.dates import csv_timestamp
 from siltstone.functions.nested import is_record, json_array_status, json_records
 from siltstone.functions.text import header_name, strip
@@ -28,7 +28,7 @@ from siltstone.operators.columns import apply_where_present, with_ingest_seq
 logger = logging.getLogger(__name__)
 
 CUSTOMER_TYPES: dict[str, Callable[[Column], Column]] = {
-    "customer_id": to_long,
+    "customer_id": to_id,
     "age": to_long,
     "last_updated": csv_timestamp,
 }

@@ -26,7 +26,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 _RECORD = (
     "version BIGINT, slot INT, row_count BIGINT, watermark STRING, writer STRING, batch_id BIGINT,"
-    " delta BIGINT, floor STRING, key STRING, generation INT, slots STRING, columns STRING"
+    " delta BIGINT, floor STRING, undated BIGINT, key STRING, generation INT, slots STRING, columns STRING"
 )
 _SLOTS = 2
 BUCKETS = 32
@@ -42,6 +42,7 @@ class Commit(NamedTuple):
     batch_id: int | None = None
     delta: int | None = None  # the last delta applied in parts, and the mark before it
     floor: str | None = None
+    undated: int | None = None  # delta rows of the load without a timestamp
     key: str | None = None  # of a table in buckets: its key, generation, a slot for each bucket, its schema
     generation: int | None = None
     slots: str | None = None
@@ -162,6 +163,7 @@ class Lake:
         carry_watermark: bool = True,
         delta: int | None = None,
         floor: str | None = None,
+        undated: int | None = None,
         counts: Mapping[str, Column] | None = None,
         gate: Callable[[dict[str, int], DataFrame], None] | None = None,
     ) -> Commit:
@@ -191,5 +193,6 @@ class Lake:
             batch_id=batch_id,
             delta=delta,
             floor=floor,
+            undated=undated,
         )
         return self._record(layer, table, commit)

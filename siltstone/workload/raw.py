@@ -134,7 +134,10 @@ ORDERS_WITH_HOLES = RawTable(
 CUSTOMERS = RawTable(
     "customer",
     {
-        "customer_id": "case when c_custkey % 211 = 7 then null else c_custkey end",
+        "customer_id": f"""case
+            when c_custkey % 211 = 7 then null
+            when c_custkey % 23 = 9 then 'A' || {_text('c_custkey')}
+            else {_text('c_custkey')} end""",
         "name": """case c_custkey % 3
             when 0 then upper(c_mktsegment || ' ' || c_name)
             when 1 then lower(c_mktsegment || ' ' || c_name)
@@ -160,6 +163,7 @@ CUSTOMERS = RawTable(
             else 'Switzerland' end""",
         "last_updated": f"""case
             when c_custkey % 53 = 8 then 'unknown'
+            when c_custkey % 59 = 3 then '2024-01-05T00:00:00.123Z'
             else '2024-01-'
                 || lpad({_text('''(c_custkey * 5
                     + case when c_custkey % 8 = 0 then 0 else copy * 3 end) % 28 + 1''')}, 2, '0')
@@ -169,6 +173,23 @@ CUSTOMERS = RawTable(
     twice="c_custkey % 4 = 0",
 )
 
+# A later file: columns absent and in another order; rows past the mark, before it, and undated.
+CUSTOMERS_LATER = RawTable(
+    "customer",
+    {
+        "last_updated": f"""case c_custkey % 4
+            when 0 then '2024-02-' || lpad({_text('c_custkey % 28 + 1')}, 2, '0') || 'T08:00:00Z'
+            when 1 then '2024-01-01T00:00:00Z'
+            when 2 then 'unknown'
+            else '2024-02-29T00:00:00.5Z' end""",
+        "customer_id": f"""case
+            when c_custkey % 23 = 9 then 'A' || {_text('c_custkey')}
+            else '0' || {_text('c_custkey')} end""",
+        "country": "'India'",
+        "email": f"'later' || {_text('c_custkey')} || '@later.org'",
+    },
+)
+
 ACCOUNTS = RawTable(
     "customer",
     {

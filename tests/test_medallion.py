@@ -15,7 +15,9 @@ FILES = {
     + "2,bo,bo-no-at,70,Peru,2024-01-02T00:00:00Z\n"
     + "2,bo again,bo@y.org,,UAE,2024-01-01T00:00:00Z\n",
     "customers_2_.csv": CUSTOMERS
-    + "1,ann NEW,ann@new.com,31,Canada,2024-01-03T00:00:00Z\n"
+    + "A7,odd,odd@id.org,40,France,2024-01-03T00:00:00Z\n"
+    + "9,undated,u@u.u,40,France,soon\n"
+    + " 01,ann NEW,ann@new.com,31,Canada,2024-01-03T00:00:00Z\n"
     + "3,late,l@l.l,20,India,2024-01-02T00:00:00Z\n",
     "customers_3_.csv": "email,customer_id,last_updated\nc@c.c,4,2024-01-04T00:00:00Z\n",
     "book/orders.csv": "Order ID,customer_id,order_amount,order_date,order_status,product_id\n"
@@ -85,9 +87,10 @@ def test_silver_contents(result):
         "customer_id", "name", "email", "age_group", "email_domain", "region", "last_updated"
     )
     assert rows(customers) == [
-        (1, "Ann New", "ann@new.com", "25-34", "new.com", "Americas", at("2024-01-03")),
-        (2, "Bo", "bo-no-at", "65+", None, "Other", at("2024-01-02")),
-        (4, None, "c@c.c", "65+", "c.c", "Other", at("2024-01-04")),
+        ("1", "Ann New", "ann@new.com", "25-34", "new.com", "Americas", at("2024-01-03")),
+        ("2", "Bo", "bo-no-at", "65+", None, "Other", at("2024-01-02")),
+        ("4", None, "c@c.c", "65+", "c.c", "Other", at("2024-01-04")),
+        ("A7", "Odd", "odd@id.org", "35-44", "id.org", "Europe", at("2024-01-03")),
     ]
     assert rows(lake.read("silver", "accounts")) == [(1, "Gold Plus", "FRANCE")]
     sales = lake.read("silver", "sales_history")
@@ -136,6 +139,7 @@ def test_checks(result):
     values = {(r.table_name, r.check_name, r.column_name): r.value for r in quality.collect()}
     assert values["customers_bronze", "duplicate_rows", "customer_id"] == 1
     assert values["customers_silver", "duplicate_rows", "customer_id"] == 0
+    assert values["customers_bronze", "undated_delta_rows", "last_updated"] == 1
     assert values["orders_bronze", "duplicate_rows", "order_id"] == 1
     assert values["orders_bronze", "missing_column", "order_id"] == 0
     assert values["sales_history_bronze", "null_count", "customer_id"] == 1
