@@ -2,8 +2,9 @@
 
 A text over PIECE characters is cut into pieces. A cut is made before white space,
 between two digits, or, in a stretch without either, inside a run of letters or of
-punctuation marks (never inside a special string, a contraction or a place where
-normalisation reaches across). Pieces are encoded on their own, spread over all
+punctuation marks, or between a mark and a letter (never inside a special string, a
+contraction or a place where normalisation reaches across; a run of combining marks is
+put in order as a whole, so it is not cut). Pieces are encoded on their own, spread over all
 tasks, and joined two by two as a tree. A join inside a run re-encodes a window of
 tokens around it, growing to both sides until its first and last token are those
 that the two halves have there: then all neighbouring tokens fit each other, and
@@ -15,6 +16,7 @@ further columns are carried along unless named like one of the new columns.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from itertools import chain
 
@@ -30,16 +32,39 @@ from siltstone.llm.common import per_process, whole_row, with_rest
 PIECE = 32_768
 
 FREE, RUN = 0, 1
-_RUNS = (
-    r"[A-Za-zА-яぁ-ゖァ-ヺ一-鿿가-힣]",
-    r"[!-&*+,\-./:;=?@\[\\\]^_`{}~]",
-)
+# Letters of every script, but for the Hangul ones that normalisation joins to syllables.
+_LETTER = r"[\p{L}--[\u1100-\u11FF\uA960-\uA97F\uD7B0-\uD7FF]]"
+_RUNS = (_LETTER, r"[!-&*+,\-./:;=?@\[\\\]^_`{}~]")
 _RUN_CUT = "|".join(f"(?<={c}{{4}})(?={c}{{4}})" for c in _RUNS)
 _FREE_CUT = r"(?=[\t-\r ])|(?<=[0-9])(?=[0-9])"
-_CUT = regex.compile(f"(?P<free>{_FREE_CUT})|(?P<run>{_RUN_CUT})")
+_CUT = regex.compile(rf"(?V1)(?P<free>{_FREE_CUT})|(?P<run>{_RUN_CUT})|(?P<mark>(?<=\p{{M}})(?={_LETTER}))")
+_CLUSTER = regex.compile(r"\P{M}\p{M}+$")
+MARKS = 32  # looked back over from a cut
+_LETTERS = regex.compile(r"\p{L}+")
 _LAST_SPACE = regex.compile(r"(?r)[\t-\r ]")
 
 
+def _plain(text: str) -> str:
+    return "".join(c.lower() for c in unicodedata.normalize("NFC", text))
+
+
+def _tie(text: str, found: regex.Match) -> int | None:
+    """How the texts to both sides of a cut are tied; None if it may not be made there.
+
+    Letters next to a cut must stay letters, one for one, when they are normalised; a
+    letter and its marks may become one letter, and then the run goes on after them.
+    """
+    at = found.start()
+    if found["run"] is not None:
+        around = text[at - 4 : at + 4]
+        plain = around if around.isascii() else _plain(around)
+        return RUN if around.isascii() or (len(plain) == len(around) and _LETTERS.fullmatch(plain)) else None
+    if found["mark"] is not None:
+        cluster = _CLUSTER.search(text, max(0, at - MARKS), at)
+        return (RUN if _LETTERS.fullmatch(_plain(cluster[0])[-1]) else FREE) if cluster else None
+    return FREE
+
+
 def pieces(text: str, special: regex.Pattern, size: int = PIECE) -> list[tuple[str, int]]:
     """The text in order, each piece with how it is tied to the one before."""
     barred = [m.span() for m in special.finditer(text)]
@@ -50,12 +75,11 @@ def pieces(text: str, special: regex.Pattern, size: int = PIECE) -> list[tuple[s
             to, next_kind = found.start(), FREE
         else:
             for found in _CUT.finditer(text, at + size):
-                to = found.start()
-                if not any(a < to < b for a, b in barred):
+                to, next_kind = found.start(), _tie(text, found)
+                if next_kind is not None and not any(a < to < b for a, b in barred):
                     break
             else:
                 break
-            next_kind = RUN if found["run"] is not None else FREE
         cut.append((text[at:to], kind))
         at, kind = to, next_kind
     return [*cut, (text[at:], kind)]

@@ -4,9 +4,9 @@ Features of a text are its distinct words (letters, digits and underscores,
 lower-cased) and their beginnings of 3 to 6 letters, present or not. The most
 telling ones are picked by the log odds of the labelled texts that hold them, and a
 logistic regression is fitted to them. Where a labelled text names a group of people,
-a copy with the term swapped for another of the same kind is made; the squared
-difference between the scores (before the logistic function) of text and copy is
-added to the loss, so that naming a group does not move the score by itself.
+a copy for every other term of the same kind (`groups`) is made; the squared difference
+between the scores (before the logistic function) of text and copy is added to the
+loss, so that naming a group does not move the score by itself.
 
 Learning takes at most `sample` labelled texts (those with the least hash of their
 id), at most `features` weights; both are sent around whole. Everything is scored.
@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +39,8 @@ SWAP_WEIGHT = 4.0
 RIDGE = 1e-4
 STEPS = 300
 
+Groups = Sequence[Sequence[str]]
+
 # Terms that may be swapped for each other.
 IDENTITY_TERMS = (
     ("women", "men"), ("woman", "man"), ("girls", "boys"), ("mujeres", "hombres"), ("femmes", "hommes"), ("frauen", "männer"),
@@ -63,12 +65,16 @@ def text_features(words: set[str]) -> set[str]:
     return {f for w in words for f in features_of(w)}
 
 
-def swapped(words: set[str], groups=IDENTITY_TERMS) -> set[str] | None:
-    """The words with every term of a group replaced by the next one; None without any."""
-    follow = {t: g[(i + 1) % len(g)] for g in groups for i, t in enumerate(g)}
-    if not words & follow.keys():
-        return None
-    return {follow.get(w, w) for w in words}
+def swapped(words: set[str], groups: Groups = IDENTITY_TERMS) -> list[set[str]]:
+    """The words with the terms of a group moved on by one place, by two and so on, for each group they name."""
+    found = []
+    for group in groups:
+        if words.isdisjoint(group):
+            continue
+        for by in range(1, len(group)):
+            other = {t: group[(i + by) % len(group)] for i, t in enumerate(group)}
+            found.append({other.get(w, w) for w in words})
+    return found
 
 
 def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,25 +90,30 @@ def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names=["feature", "toxic", "clean"])
 
 
-def _encoder(index: dict[str, int]):
+def _encoder(index: dict[str, int], groups: Groups):
+    def known(words: set[str]) -> list[int]:
+        return sorted(index[f] for f in text_features(words) if f in index)
+
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.int32())
         for batch in batches:
-            own, other = [], []
-            for text in batch.column(1).to_pylist():
-                words = words_of(text)
-                own.append(sorted(index[f] for f in text_features(words) if f in index))
-                turned = swapped(words)
-                other.append(None if turned is None else sorted(index[f] for f in text_features(turned) if f in index))
+            words = [words_of(text) for text in batch.column(1).to_pylist()]
+            own = [known(w) for w in words]
+            others = [[known(turned) for turned in swapped(w, groups)] for w in words]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(own, kind), pa.array(other, kind)], names=["label", "own", "other"]
+                [batch.column(0), pa.array(own, kind), pa.array(others, pa.list_(kind))], names=["label", "own", "others"]
             )
 
     return encode
 
 
-def fitted(labels: np.ndarray, own: list[list[int]], pairs: list[tuple[list[int], list[int]]], size: int) -> tuple[np.ndarray, float]:
-    """Weights and intercept by gradient steps with momentum and scaling."""
+def fitted(
+    labels: np.ndarray, own: list[list[int]], pairs: list[tuple[list[int], list[int]]], size: int, swap_weight: float = SWAP_WEIGHT
+) -> tuple[np.ndarray, float]:
+    """Weights and intercept by gradient steps with momentum and scaling.
+
+    `pairs` are the features of texts and of their swapped copies.
+    """
     row = np.repeat(np.arange(len(own)), [len(x) for x in own])
     col = np.array([i for x in own for i in x], dtype=np.int64)
     pair_row = np.array([k for k, (a, b) in enumerate(pairs) for _ in (*a, *b)], dtype=np.int64)
@@ -122,14 +133,21 @@ def fitted(labels: np.ndarray, own: list[list[int]], pairs: list[tuple[list[int]
         slope[size] = error.sum() / n
         if pairs:
             gap = np.bincount(pair_row, sign * weights[pair_col], len(pairs))
-            slope[:size] += 2 * SWAP_WEIGHT / len(pairs) * np.bincount(pair_col, sign * gap[pair_row], size)
+            slope[:size] += 2 * swap_weight / len(pairs) * np.bincount(pair_col, sign * gap[pair_row], size)
         first = 0.9 * first + 0.1 * slope
         second = 0.99 * second + 0.01 * slope**2
         weights -= 0.1 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
     return weights[:size], float(weights[size])
 
 
-def learned(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: int = FEATURES) -> tuple[dict[str, float], float]:
+def learned(
+    docs: DataFrame,
+    labels: DataFrame,
+    sample: int = SAMPLE,
+    features: int = FEATURES,
+    groups: Groups = IDENTITY_TERMS,
+    swap_weight: float = SWAP_WEIGHT,
+) -> tuple[dict[str, float], float]:
     """Weight of each feature, and the intercept, from `labels` (doc_id, label)."""
     known = labels.filter("doc_id is not null and label in (0, 1)").groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
     taken = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)  # bounded by `sample`, so it can be sent to all
@@ -145,9 +163,11 @@ def learned(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features:
     spread = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
     picked = counts.filter(F.col("toxic") + F.col("clean") >= LEAST_TEXTS).orderBy(F.abs(odds / spread).desc(), "feature").limit(features)
     names = [r[0] for r in picked.select("feature").collect()]
-    coded = texts.mapInArrow(_encoder({f: i for i, f in enumerate(names)}), "label int, own array<int>, other array<int>").collect()
-    pairs = [(r["own"], r["other"]) for r in coded if r["other"] is not None and r["own"] != r["other"]]
-    weights, intercept = fitted(np.array([r["label"] for r in coded], dtype=float), [r["own"] for r in coded], pairs, len(names))
+    encode = _encoder({f: i for i, f in enumerate(names)}, groups)
+    coded = texts.mapInArrow(encode, "label int, own array<int>, others array<array<int>>").collect()  # bounded by `sample`
+    pairs = [(r["own"], other) for r in coded for other in r["others"] if r["own"] != other]
+    own = [r["own"] for r in coded]
+    weights, intercept = fitted(np.array([r["label"] for r in coded], dtype=float), own, pairs, len(names), swap_weight)
     return dict(zip(names, weights.tolist(), strict=True)), intercept
 
 
@@ -179,9 +199,20 @@ def _scorer(model):
     return score
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, features: int = FEATURES) -> DataFrame:
-    """The columns of `docs` with score (0 to 1) and predicted (1 from 0.5 on)."""
-    model = docs.sparkSession.sparkContext.broadcast(learned(docs.select("doc_id", "text"), labels, sample, features))
+def toxicity(
+    docs: DataFrame,
+    labels: DataFrame,
+    sample: int = SAMPLE,
+    features: int = FEATURES,
+    groups: Groups = IDENTITY_TERMS,
+    swap_weight: float = SWAP_WEIGHT,
+) -> DataFrame:
+    """The columns of `docs` with score (0 to 1) and predicted (1 from 0.5 on).
+
+    `groups` lists identity terms (lower case) that may stand for each other.
+    """
+    found = learned(docs.select("doc_id", "text"), labels, sample, features, groups, swap_weight)
+    model = docs.sparkSession.sparkContext.broadcast(found)
     carried = [c for c in docs.columns if c not in ("score", "predicted")]
     score = F.arrow_udf(_scorer(model), "double")  # the texts alone go to Python, and none comes back
     scored = docs.select(*map(quoted, carried), score("text").alias("score"))
