@@ -2,7 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before kept;
 all but the last return the columns of documents. Rows with a null id pass the
-stages that decide by id; null texts pass all and end as no tokens.
+stages that decide by id; null texts pass all and end as no tokens. Of rows that repeat
+an id and its text the near-duplicate stage keeps one; rows of one id with other texts
+share what is decided by id.
 """
 
 from __future__ import annotations
@@ -34,9 +36,15 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates (five-word shingles, 0.8 or more)."""
-    found = near_duplicates(docs, size=5, percent=80)
+    found = written(near_duplicates(docs, size=5, percent=80).select("doc_id", "kept"), "found")
     gone = found.filter("not kept").select("doc_id").distinct()
-    return docs.join(own_shuffle(gone, "doc_id"), "doc_id", "left_anti").select(_own(docs))
+    left = docs.join(own_shuffle(gone, "doc_id"), "doc_id", "left_anti").select(_own(docs))
+    repeated = found.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    if repeated.isEmpty():
+        return left
+    again = own_shuffle(written(repeated, "repeated"), "doc_id")
+    single = left.join(again, "doc_id", "left_anti").select(_own(docs))
+    return single.union(left.join(again, "doc_id", "left_semi").select(_own(docs)).dropDuplicates(["doc_id", "text"]))
 
 
 def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
