@@ -1,10 +1,12 @@
 """URL filter: rules, then empirical-Bayes host reputation. DataFrame functions only.
 
-Labelled page outcomes (bad or not) are counted for each host, registered domain
-(last two labels of the host) and suffix (last label). Each level is a beta-binomial
-whose prior mean is the posterior mean of the level above (all pages, suffix, domain,
-host) and whose strength comes from the scatter of the level's counts around it
-(moments). A host is blocked if the lower posterior bound of its rate of bad pages,
+Labelled page outcomes (bad or not) are counted for each host, registered domain (one
+label more than the suffix) and suffix (the last label, or two of them in
+TWO_LABEL_SUFFIXES); user and port are no part of the domain. Each level is a
+beta-binomial whose prior is the posterior of the level above (all pages, suffix, domain,
+host) without the group's own pages, so that no outcome counts twice. Its strength comes
+from the scatter of the level's counts around it (moments), and is less where little is
+known above: the variances add. A host is blocked if the lower posterior bound of its rate of bad pages,
 mean - z * standard deviation, is over `limit`: a few bad pages of a small host do
 not block it, nor do they fail to once its neighbours are bad too.
 
@@ -26,6 +28,13 @@ Z = 1.645
 LIMIT = 0.5
 LEVELS = ("suffix", "domain", "host")
 
+# Public suffixes of two labels, under which the third is registered.
+TWO_LABEL_SUFFIXES = (
+    "ac.jp", "ac.uk", "co.in", "co.jp", "co.kr", "co.nz", "co.uk", "co.za", "com.ar", "com.au", "com.br", "com.cn",
+    "com.hk", "com.mx", "com.sg", "com.tr", "com.tw", "edu.au", "gov.au", "gov.uk", "me.uk", "ne.jp", "net.au",
+    "or.jp", "org.au", "org.nz", "org.uk",
+)
+
 Rule = tuple[str, str, str]
 
 
@@ -55,27 +64,34 @@ def _strength(rows: DataFrame) -> float:
 
 def reputations(hosts: DataFrame) -> DataFrame:
     """(host, rate, bound) from `hosts` (host, n, bad)."""
-    labels = F.split("host", r"\.")
-    size = F.size(labels)
+    name = F.regexp_replace(F.regexp_replace("host", "^.*@", ""), ":[0-9]*$", "")
+    two = F.substring_index("name", ".", -2)
+    long = two.isin(*TWO_LABEL_SUFFIXES)
     hosts = hosts.select(
+        "host", F.col("n").cast("double").alias("n"), F.col("bad").cast("double").alias("bad"), name.alias("name")
+    ).select(
         "host", "n", "bad",
-        F.when(size >= 2, F.concat_ws(".", F.get(labels, size - 2), F.get(labels, size - 1))).otherwise(F.col("host")).alias("domain"),
-        F.get(labels, size - 1).alias("suffix"),
+        F.when(long, F.substring_index("name", ".", -3)).otherwise(two).alias("domain"),
+        F.when(long, two).otherwise(F.substring_index("name", ".", -1)).alias("suffix"),
     )
     hosts = written(hosts, "hosts")
-    n, bad = hosts.agg(F.sum("n"), F.sum("bad")).first()
+    n, bad = (x or 0.0 for x in hosts.agg(F.sum("n"), F.sum("bad")).first())
     above = None
     for level, name in enumerate(LEVELS):
         keys = list(LEVELS[: level + 1])
-        rows = hosts.groupBy(*keys).agg(F.sum("n").cast("double").alias("n"), F.sum("bad").cast("double").alias("bad"))
+        rows = hosts.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
         if above is None:
-            rows = rows.withColumn("prior", F.lit(((bad or 0) + 0.5) / ((n or 0) + 1)))
+            rows = rows.withColumns({"all_weight": F.lit(1 + n), "all_bad": F.lit(0.5 + bad)})
         else:
-            rows = rows.join(above, keys[:-1])
-        rows = written(rows, name)
-        strength = F.lit(_strength(rows))
-        rate = (strength * F.col("prior") + F.col("bad")) / (strength + F.col("n"))
-        above = rows.select(*keys, rate.alias("prior"))
+            rows = rows.join(own_shuffle(above, *keys[:-1]), keys[:-1])
+        others = F.col("all_weight") - F.col("n")
+        rows = rows.withColumns({"weight": others, "prior": (F.col("all_bad") - F.col("bad")) / others})
+        rows = written(rows.drop("all_weight", "all_bad"), name)
+        strength = 1 / (1 / F.lit(_strength(rows)) + 1 / F.col("weight"))
+        above = rows.select(
+            *keys, (strength + F.col("n")).alias("all_weight"), (strength * F.col("prior") + F.col("bad")).alias("all_bad")
+        )
+    rate = (strength * F.col("prior") + F.col("bad")) / (strength + F.col("n"))
     deviation = F.sqrt(rate * (1 - rate) / (strength + F.col("n") + 1))
     return rows.select("host", rate.alias("rate"), (rate - Z * deviation).alias("bound"))
 
