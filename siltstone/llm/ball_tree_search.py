@@ -303,7 +303,7 @@ def _placer(sent, name: str):
 
 
 def _ranked_block(texts: DataFrame, items: Items, count: int) -> DataFrame | None:
-    """(item_id, item, id, score): for each item of a block, what holds its best."""
+    """(item_id, rank, id, score): the best of each item of a block."""
     spark = texts.sparkSession
     keys = spark.sparkContext.broadcast(items.keys)
     vectors = written(texts.mapInArrow(_vectorizer(keys), VECTORS), "vectors")
@@ -321,7 +321,9 @@ def _ranked_block(texts: DataFrame, items: Items, count: int) -> DataFrame | Non
     dealt = placed.repartitionByRange("heaviest", F.xxhash64("id", "n")).sortWithinPartitions("heaviest").drop("heaviest")
     found = dealt.mapInArrow(_searcher(asked, name, documents, terms, count), "item long, id long, score long")
     ids = spark.createDataFrame(list(enumerate(items.ids)), "item long, item_id long")
-    return found.join(F.broadcast(ids), "item").select("item_id", "item", "id", "score")
+    best = Window.partitionBy("item").orderBy(F.desc("score"), "id")
+    found = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= count)
+    return found.join(F.broadcast(ids), "item").select("item_id", "rank", "id", "score")
 
 
 def ranked(docs: DataFrame, items: DataFrame, count: int = BEST) -> DataFrame:
@@ -339,12 +341,10 @@ def ranked(docs: DataFrame, items: DataFrame, count: int = BEST) -> DataFrame:
         if len(held.keys):
             found = _ranked_block(texts, held, count)
             if found is not None:
-                parts.append(found.withColumn("block", F.lit(block)))
+                parts.append(found)
     if not parts:
         return docs.sparkSession.createDataFrame([], "item_id long, rank int, doc_id long, score long")
     rows = parts[0]
     for part in parts[1:]:
         rows = rows.union(part)
-    best = Window.partitionBy("block", "item").orderBy(F.desc("score"), "id")
-    rows = rows.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= count)
     return rows.select("item_id", "rank", F.when(F.col("id") < int(NO_ID), F.col("id")).alias("doc_id"), "score")
