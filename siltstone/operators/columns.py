@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from siltstone.constants import INGEST_SEQ
 from siltstone.functions.casts import to_double, to_long
@@ -75,5 +76,27 @@ def with_ingest_seq(scan: DataFrame, ordinal: int) -> DataFrame:
     return scan.select("*", position.alias(INGEST_SEQ))
 
 
+def with_short_seq(stored: DataFrame) -> DataFrame:
+    """The positions of `with_ingest_seq` as one number each, in the same order.
+
+    A position holds its file's name, which a shuffle or sort would carry with every row.
+    Here the splits of the load are numbered in order, and the number takes the name's
+    place. `stored` is read once more for its splits, of which there are as many as tasks
+    that read the files; so give a stored table. Other positions stay as they are.
+    """
+    if INGEST_SEQ not in stored.columns or not isinstance(stored.schema[INGEST_SEQ].dataType, StructType):
+        return stored
+    row = F.col(f"{INGEST_SEQ}.row")
+    # monotonically_increasing_id: the task's number above 33 bits of the row's place within it
+    parts = {f"_{name}": F.col(f"{INGEST_SEQ}.{name}") for name in ("load", "file", "block")}
+    parts["_task"] = F.shiftright(row, 33)
+    splits = stored.select(*[part.alias(name) for name, part in parts.items()]).distinct()
+    ranked = splits.withColumn("_split", F.row_number().over(Window.orderBy(*parts)).cast("bigint"))
+    same_split = [part == F.col(name) for name, part in parts.items()]
+    short = F.shiftleft("_split", 33).bitwiseOR(row.bitwiseAND(F.lit(2**33 - 1)))
+    numbered = stored.join(F.broadcast(ranked), same_split, "left")
+    return numbered.withColumn(INGEST_SEQ, short).drop("_split", *parts)
+
+
 def without_ingest_seq(df: DataFrame) -> DataFrame:
     return df.drop(INGEST_SEQ)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.constants import REQUIRED_COLUMNS
-from siltstone.operators.columns import without_ingest_seq
+from siltstone.operators.columns import with_short_seq, without_ingest_seq
 from siltstone.operators.joins import require_unique
 from siltstone.operators.dedup import rows_beyond_first
 from siltstone.operators.quality import Check, counts_at_write, missing_columns, profile
@@ -142,7 +142,7 @@ def build_silver(lake: Lake, sheets: Sequence[str], ledger: Ledger) -> None:
     plans |= {name: (name, plan) for name, plan in SHEET_PLANS.items() if name in sheets}
     _together(
         [
-            partial(ledger.publish, lake, "silver", name, plan(lake.read("bronze", source)), _extra(name))
+            partial(ledger.publish, lake, "silver", name, plan(with_short_seq(lake.read("bronze", source))), _extra(name))
             for name, (source, plan) in plans.items()
             if name != "products"
         ]

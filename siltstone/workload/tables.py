@@ -33,6 +33,7 @@ from siltstone.workload.registry import query, table
 CUT_OFF = date(2000, 1, 1)
 ORDER_ABOVE = 250_000
 CUSTOMER_ABOVE = 2_500_000
+RAW_RECORDS = 250_000
 
 # --- nested product records ------------------------------------------------
 
@@ -412,8 +413,12 @@ def gold_report(spark, sf_dir):
 
 
 def _raw_files(spark, sf_dir) -> tuple[str, dict]:
-    """The raw tables as files, and the configuration that names them."""
+    """The raw tables as files, and the configuration that names them.
+
+    A compressed file cannot be split, so none holds more than RAW_RECORDS.
+    """
     root = shared_folder(spark, "raw")
+    packed = {"compression": "gzip", "maxRecordsPerFile": RAW_RECORDS}
     as_they_are = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     files = {
         "customers_full.csv": raw.CUSTOMERS,
@@ -426,8 +431,8 @@ def _raw_files(spark, sf_dir) -> tuple[str, dict]:
         frame = source.frame(spark, sf_dir)
         if source is raw.ORDERS:  # which null id is first hangs on how the tables are split
             frame = frame.filter("order_id is not null").withColumnsRenamed({"order_id": " Order ID ", "order_date": "Order Date"})
-        frame.drop(INGEST_SEQ).write.options(**as_they_are).csv(f"{root}/{name}")
-    raw.PRODUCTS.frame(spark, sf_dir).write.text(f"{root}/products.jsonl")
+        frame.drop(INGEST_SEQ).write.options(**as_they_are, **packed).csv(f"{root}/{name}")
+    raw.PRODUCTS.frame(spark, sf_dir).write.options(**packed).text(f"{root}/products.jsonl")
     return root, {
         "csv_files": {"baseline": "customers_full.csv", "incremental": ["customers_later.csv"]},
         "json_files": ["products.jsonl"],

@@ -5,8 +5,11 @@ import json
 import pytest
 
 from helpers import at, rows
+from siltstone.plans import medallion
 from siltstone.plans.medallion import run
+from siltstone.sources.files import read_sheet
 from siltstone.sources.lake import Lake
+from siltstone.workload import tables
 
 CUSTOMERS = "customer_id,name,email,age,country,last_updated\n"
 FILES = {
@@ -192,3 +195,51 @@ def test_a_failing_check_leaves_gold_as_it_was(spark, raw, tmp_path):
     found = lake.read("quality", "checks")
     assert not found.filter("check_name = 'null_count' and value > 0").isEmpty()
     assert found.filter("table_name = 'report_table'").isEmpty()
+
+
+def test_silver_sorts_by_numbers_not_file_names(spark, raw, tmp_path, monkeypatch):
+    """What a row carries through the sort and shuffle of its deduplication."""
+    kinds = {}
+
+    def seen(name, plan):
+        def spy(bronze):
+            kinds[name] = bronze.schema["ingest_seq"].dataType.simpleString()
+            return plan(bronze)
+
+        return spy
+
+    for name, plan in medallion.SHEET_PLANS.items():
+        monkeypatch.setitem(medallion.SHEET_PLANS, name, seen(name, plan))
+    monkeypatch.setattr(medallion.silver, "customers", seen("customers", medallion.silver.customers))
+    run(spark, str(raw), str(tmp_path), CONFIG)
+    assert kinds == dict.fromkeys(["customers", "orders", "accounts", "sales_history"], "bigint")
+    lake = Lake(spark, str(tmp_path))
+    assert lake.read("bronze", "orders").schema["ingest_seq"].dataType.simpleString().startswith("struct")
+    assert [r[0] for r in lake.read("silver", "orders").filter("order_id = 'O1'").select("order_amount").collect()] == [2000.5]
+
+
+def test_raw_files_are_packed_and_bounded(spark, tmp_path, monkeypatch):
+    """No raw file is plain or holds more than RAW_RECORDS, and all rows come back in order."""
+    import gzip
+    from pathlib import Path
+
+    monkeypatch.setattr(tables, "RAW_RECORDS", 4)
+    monkeypatch.setattr(tables, "shared_folder", lambda _, purpose: f"{tmp_path}/{purpose}")
+    day = "cast(timestamp'1997-03-05 00:00:00' as timestamp_ntz)"
+    sources = {
+        "customer": "id as c_custkey, 'n' || id as c_name, 'BUILDING' as c_mktsegment",
+        "part": "id as p_partkey, 'p' as p_name, 'b' as p_brand, 't' as p_type, cast(id as int) as p_size, 1.5D as p_retailprice",
+        "orders": f"id as o_orderkey, id as o_custkey, 'F' as o_orderstatus, 10D as o_totalprice, {day} as o_orderdate",
+        "lineitem": f"id as l_orderkey, id as l_partkey, cast(id % 3 as int) as l_linenumber, 10D as l_extendedprice, {day} as l_shipdate",
+    }
+    for name, columns in sources.items():
+        spark.range(1, 24, 1, 1).selectExpr(*columns.split(", ")).write.parquet(f"{tmp_path}/sf/{name}.parquet")
+    root, config = tables._raw_files(spark, f"{tmp_path}/sf")
+    files = [f for f in Path(root).rglob("part-*") if f.is_file()]
+    assert files and all(f.name.endswith(".gz") for f in files)
+    assert all(gzip.open(f, "rt").read().count("\n") <= 5 for f in files)
+    assert len(list(Path(root, "products.jsonl").glob("part-*"))) == 6
+    assert spark.read.text(f"{root}/products.jsonl").count() == 23
+    sales = tables.raw.SALES.frame(spark, f"{tmp_path}/sf")
+    got = read_sheet(spark, f"{root}/book/sales_history.csv").orderBy("ingest_seq").select("customer_id", "sales_amount").collect()
+    assert got == sales.select("customer_id", "sales_amount").collect()

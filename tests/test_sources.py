@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from helpers import at, rows
 from siltstone.constants import INGEST_SEQ
+from siltstone.operators.columns import with_ingest_seq, with_short_seq
+from siltstone.operators.dedup import keep_first
 from siltstone.operators.dedup import keep_first
 from siltstone.plans.bronze import full_load, incremental_load
 from siltstone.sources.files import (
@@ -254,3 +256,32 @@ def test_glob_with_unlike_headers(spark, tmp_path):
     found = read_csv(spark, f"{tmp_path}/*.csv")
     assert {(r.customer_id, r.name, r.age) for r in found.collect()} == {("1", "x", None), ("2", "y", 30), ("3", "z", None)}
     assert found.select("ingest_seq").distinct().count() == 3
+
+
+def test_short_positions_keep_the_reading_order(spark, settings, tmp_path):
+    """Several loads, splits and files, two of them of one name; a row without a position comes first."""
+    settings(spark__sql__files__maxPartitionBytes="400", spark__sql__files__openCostInBytes="1")
+    for n, name in enumerate(("b/x", "a/x", "a/w")):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / f"{name}.csv").write_text("k,v\n" + "".join(f"{i % 7},{n}-{i:04d}\n" for i in range(200)))
+    loads = [spark.read.csv(f"{tmp_path}/{files}", header=True) for files in ("*/*.csv", "a/w.csv")]
+    loads = [with_ingest_seq(load, place) for place, load in ((1, loads[0]), (0, loads[1]))]
+    unplaced = loads[0].select(F.lit("8").alias("k"), F.lit("none").alias("v"), F.lit(None).cast(loads[0].schema["ingest_seq"].dataType).alias("ingest_seq")).limit(1)
+    loads[0].unionByName(loads[1]).unionByName(unplaced).write.parquet(f"{tmp_path}/stored")
+    stored = spark.read.parquet(f"{tmp_path}/stored")
+    short = with_short_seq(stored.withColumn("long", F.col("ingest_seq")))
+    assert short.columns == [*stored.columns, "long"]
+    assert short.schema["ingest_seq"].dataType.simpleString() == "bigint"
+    in_order = [r.ingest_seq for r in short.orderBy("long").collect()]
+    assert in_order[0] is None and None not in in_order[1:] and len(in_order) == 801
+    assert in_order[1:] == sorted(set(in_order[1:]))
+    assert short.filter("ingest_seq is not null").select(F.shiftright("ingest_seq", 33)).distinct().count() > 6
+    for keys in (["k"], ["v"]):
+        assert rows(keep_first(with_short_seq(stored), keys).select("k", "v")) == rows(keep_first(stored, keys).select("k", "v"))
+
+
+def test_other_positions_are_left_alone(spark):
+    numbered = spark.createDataFrame([(1, 5)], "k int, ingest_seq int")
+    assert with_short_seq(numbered) is numbered
+    plain = numbered.drop("ingest_seq")
+    assert with_short_seq(plain) is plain
